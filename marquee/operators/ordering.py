@@ -69,14 +69,21 @@ def exact_percentiles(
     value: str,
     fractions: Mapping[str, float],
     groups_at_most: int | None = None,
+    weight: str | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """Interpolated percentiles per group, one column per entry of `fractions`, NULLs ignored.
 
     Groups without any value do not appear. Only rows of the buckets that hold a wanted
-    position are shuffled, the rest is counted in place.
+    position are shuffled, the rest is counted in place. `weight` names the number of times a
+    row counts. The input is read three times; say `derived` if it comes out of joins or
+    aggregations, and its keys and values are stored once instead.
     """
     keys = list(keys)
-    numeric = df.select(*keys, F.col(value).cast("double").alias("_value"))
+    times = F.col(weight) if weight else F.lit(1)
+    numeric = df.select(*keys, F.col(value).cast("double").alias("_value"), times.cast("bigint").alias("_times"))
+    if derived:
+        numeric = checkpointed(numeric)
     known = numeric.where(F.col("_value").isNotNull())
     sketch = known.groupBy(*keys).agg(_bounds("_value").alias("_bounds"))
     if keys:
@@ -86,10 +93,10 @@ def exact_percentiles(
         groups_at_most = 1
         found = sketch.first()["_bounds"]
         bounds = _doubles(found) if found else F.array().cast("array<double>")
-    tagged = known.select(*keys, "_value", _bucket(bounds, "_value").alias("_bucket"))
+    tagged = known.select(*keys, "_value", "_times", _bucket(bounds, "_value").alias("_bucket"))
 
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    counts = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = tagged.groupBy(*keys, "_bucket").agg(F.sum("_times").alias("_n"))
     spans = counts.select(
         *keys,
         "_bucket",
@@ -110,7 +117,7 @@ def exact_percentiles(
     ladder = (
         tagged.join(targets, [*keys, "_bucket"])
         .groupBy(*keys, "_bucket", "_start", "_total", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_times").alias("_n"))
         .withColumn("_until", F.col("_start") + F.sum("_n").over(by_value))
         .withColumn("_from", F.col("_until") - F.col("_n"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marquee.functions.numbers import pct_of_total, ratio
 from marquee.operators.ordering import exact_percentiles
+from marquee.session import checkpointed
 
 # Percentiles of a numeric summary, by column name.
 SUMMARY_FRACTIONS = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
@@ -128,10 +129,36 @@ def window_comparison(
     return counted.join(skews, "window", "left")
 
 
+def count_summary(per: DataFrame, column: str) -> DataFrame:
+    """Summary of a whole-number column with few distinct values, such as rows per entity.
+
+    The input is reduced to one row per distinct value first, and that small table is stored,
+    so the joins and aggregations behind `per` run once.
+    """
+    histogram = checkpointed(
+        per.groupBy(F.col(column).cast("bigint").alias("v")).agg(F.count(F.lit(1)).alias("w")).where("v IS NOT NULL")
+    )
+    v, w = (F.col(c).cast("decimal(19,0)") for c in ("v", "w"))
+    sums = histogram.agg(
+        F.sum("w").alias("n"),
+        F.min("v").cast("double").alias("min"),
+        F.max("v").cast("double").alias("max"),
+        F.sum(v * w).cast("double").alias("total"),
+        F.sum((v * v).cast("decimal(38,0)") * w).cast("double").alias("squares"),
+    )
+    percentiles = exact_percentiles(histogram, [], "v", SUMMARY_FRACTIONS, weight="w")
+    row = percentiles.select(F.struct(*SUMMARY_FRACTIONS).alias("p")).scalar()
+    mean = F.col("total") / F.col("n")
+    deviation = F.sqrt((F.col("squares") - F.col("total") * mean) / F.nullif(F.col("n") - 1, F.lit(0)))
+    return sums.withColumn("p", row).select(
+        F.lit(column).alias("column_name"), "n", "min", "p.*", mean.alias("mean"), "max",
+        deviation.alias("stddev"), ratio(mean, F.col("p.p50")).alias("mean_median_ratio"),
+    )
+
+
 def values_per_entity(pairs: DataFrame, entity: str) -> DataFrame:
     """Distribution of the number of rows per entity."""
-    per = pairs.groupBy(entity).agg(F.count(F.lit(1)).alias("values_per_entity"))
-    return numeric_summary(per, ["values_per_entity"])
+    return count_summary(pairs.groupBy(entity).agg(F.count(F.lit(1)).alias("values_per_entity")), "values_per_entity")
 
 
 def duplicate_inflation(pairs: DataFrame, entity: str, value: str) -> DataFrame:
@@ -143,9 +170,11 @@ def duplicate_inflation(pairs: DataFrame, entity: str, value: str) -> DataFrame:
     )
 
 
-def cap_at_percentile(df: DataFrame, column: str, fraction: float, capped: str) -> DataFrame:
+def cap_at_percentile(
+    df: DataFrame, column: str, fraction: float, capped: str, derived: bool = False
+) -> DataFrame:
     """Add the column limited to its own percentile; NULL stays NULL."""
-    limit = exact_percentiles(df, [], column, {"limit": fraction}).scalar()
+    limit = exact_percentiles(df, [], column, {"limit": fraction}, derived=derived).scalar()
     value = F.col(column).cast("double")
     return df.withColumn(capped, F.when(value.isNotNull(), F.least(value, limit)))
 
@@ -165,7 +194,7 @@ def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def period_counts(df: DataFrame, period: str) -> DataFrame:
     """Min, max, mean and median of the rows per period."""
     per = df.groupBy(period).agg(F.count(F.lit(1)).alias("rows_per_period"))
-    return numeric_summary(per, ["rows_per_period"]).select(
+    return count_summary(per, "rows_per_period").select(
         F.col("n").alias("periods"), "min", "max", "mean", F.col("p50").alias("median"), "mean_median_ratio"
     )
 

@@ -10,7 +10,7 @@ from marquee.operators.joins import union_distinct
 
 _ANSWER = (
     "budget decimal(15,2), revenue decimal(15,2), genres array<map<string,string>>, "
-    "production_countries array<map<string,string>>, spoken_languages array<map<string,string>>"
+    "production_countries array<map<string,string>>, spoken_languages array<map<string,string>>, _broken string"
 )
 
 
@@ -55,10 +55,10 @@ def flatten_answers(payloads: DataFrame) -> DataFrame:
 
     Unparsable answers, ids that are no integers and genre lists with a null name are dropped.
     """
-    answer = F.from_json("payload", _ANSWER)
-    parsed = payloads.select("id", answer.alias("a")).where(
-        F.col("a").isNotNull() & F.col("id").rlike(r"^\s*[+-]?[0-9]+\s*$")
-    )
+    answer = F.from_json("payload", _ANSWER, {"columnNameOfCorruptRecord": "_broken"})
+    parsed = payloads.where(
+        F.col("payload").rlike(r"^\s*\{") & F.col("id").rlike(r"^\s*[+-]?[0-9]+\s*$")
+    ).select("id", answer.alias("a")).where("a._broken IS NULL")
     nameless = F.exists("a.genres", lambda e: e.isNull() | (F.map_contains_key(e, "name") & e["name"].isNull()))
     return parsed.where(~F.coalesce(nameless, F.lit(False))).select(
         F.trim("id", F.lit(" \t\n\r")).cast("bigint").alias("movie_id"),
