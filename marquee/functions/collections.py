@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -25,38 +26,42 @@ def _skeleton(text: Column) -> Column:
     return F.regexp_replace(text, "(?s)" + _QUOTED, "S")
 
 
+def _mentions(text: Column, *words: str) -> Column:
+    """Cheap test that spares most rows a regular expression."""
+    return reduce(lambda left, right: left | right, (text.contains(w) for w in words))
+
+
+def _is_list(text: Column) -> Column:
+    bare = trim_unicode(text)
+    return bare.startswith("[") & bare.endswith("]")
+
+
 def literal_codes(text: Column, code: str) -> Column:
     """The `code` entry of each mapping in a Python-literal list of mappings.
 
     Never NULL: a missing, blank, malformed or non-list text gives an empty array. A mapping
     without the entry gives NULL in its place, so callers can tell "no list" from "no code".
     """
+    words = F.regexp_replace(text, r"(:\s*)None(?=\s*[,}])", "$1null")
+    words = F.regexp_replace(words, r"(:\s*)True(?=\s*[,}])", "$1true")
+    words = F.regexp_replace(words, r"(:\s*)False(?=\s*[,}])", "$1false")
+    worded = F.when(_mentions(text, "None", "True", "False"), words).otherwise(text)
     # Inside an outer object the parser also rejects anything that follows the list.
-    as_json = F.concat(
-        F.lit('{"items":'),
-        F.regexp_replace(
-            F.regexp_replace(
-                F.regexp_replace(
-                    F.regexp_replace(text, r"(:\s*)None(?=\s*[,}])", "$1null"),
-                    r"(:\s*)True(?=\s*[,}])", "$1true"),
-                r"(:\s*)False(?=\s*[,}])", "$1false"),
-            r",\s*([\]}])", "$1"),
-        F.lit("}"),
-    )
+    as_json = F.concat(F.lit('{"items":'), F.regexp_replace(worded, r",\s*([\]}])", "$1"), F.lit("}"))
     parsed = F.from_json(as_json, f"items array<struct<`{code}` string>>", _JSON_OPTIONS)
-    is_list = text.rlike(r"(?s)^\s*\[.*\]\s*$")
-    json_words = _skeleton(text).rlike(r"\b(null|true|false)\b")
-    codes = F.transform(parsed["items"], lambda item: item[code])
-    return F.coalesce(F.when(is_list & ~json_words, codes), F.array().cast("array<string>"))
+    # The words of JSON itself make the text malformed, unless they stand inside a string.
+    json_words = _mentions(text, "null", "true", "false") & _skeleton(text).rlike(r"\b(null|true|false)\b")
+    return F.coalesce(
+        F.when(_is_list(text) & ~json_words, parsed["items"][code]), F.array().cast("array<string>")
+    )
 
 
 def literal_fault(text: Column, code: str) -> Column:
     """True where a list holds an entry that is no mapping, or a code that is no string."""
-    is_list = text.rlike(r"(?s)^\s*\[.*\]\s*$")
     outside = F.regexp_replace(_skeleton(text), r"\{[^{}]*+\}", "")
     odd_entry = F.regexp_replace(outside, r"[\s,]", "").rlike(r"^\[[SNoneTrueFals0-9+.-]+\]$")
     odd_code = text.rlike(rf"""(?s)[{{,]\s*(['"]){code}\1\s*:\s*(None|True|False|[0-9\[{{(+.-])""")
-    return F.coalesce(is_list & (odd_entry | odd_code), F.lit(False))
+    return F.coalesce(_is_list(text) & (odd_entry | odd_code), F.lit(False))
 
 
 def coded_pairs(text: Column) -> Column:

@@ -14,14 +14,12 @@ LOWEST_TIER = "Micro-Budget"
 UNKNOWN_TIER = "Unknown"
 TIER_LABELS = tuple(label for _, label in MONEY_TIERS) + (LOWEST_TIER, UNKNOWN_TIER)
 
-_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_BLANKS = " \t\n\r\x0b\x0c"
 
 
 def to_number(text: Column) -> Column:
     """Text to double; anything that is not a plain finite decimal number becomes NULL."""
-    value = F.trim(text, F.lit(_BLANKS)).try_cast("double")
+    value = text.try_cast("double")
     return F.when(text.rlike(_NUMBER) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
@@ -33,10 +31,10 @@ def is_fractional(text: Column) -> Column:
 
 def to_key(text: Column) -> Column:
     """Text to a 64-bit key: whole numbers in any spelling, NULL for everything else."""
-    number = to_number(text)
-    return F.when(
-        text.rlike(_INTEGER), F.trim(text, F.lit(_BLANKS)).try_cast("bigint")
-    ).when(number == F.floor(number), number.try_cast("bigint"))
+    usual = F.regexp_replace(text, r"\.0*(\s*)$", "$1").try_cast("bigint")
+    exact = text.try_cast("decimal(38,18)")
+    unusual = F.when(text.rlike(_NUMBER) & (exact % 1 == 0), exact.try_cast("bigint"))
+    return F.coalesce(usual, unusual)
 
 
 def zero_to_null(value: Column) -> Column:
