@@ -75,7 +75,7 @@ REQUIRED = {
     "stg_movie_countries": ("movie_id", "iso_country_code", "country_name", "is_service_restricted"),
     "stg_movie_languages": ("movie_id", "iso_language_code", "language_name"),
     "int_yearly_movie_trends": ("release_year", "movie_count"),
-    "int_movie_financials": ("movie_id", "budget_tier"),
+    "int_movie_financials": ("movie_id",),
     "fact_movies": (
         "movie_id", "movie_title", "release_year", "genre_count", "company_count", "country_count", "language_count",
     ),

@@ -105,15 +105,19 @@ def run_gold(spark: SparkSession, layers: Layers) -> Report:
     for attribute in ("genres", "companies", "countries", "languages"):
         name = f"bridge_movie_{attribute}"
         stored[name] = layers.store("gold", name, gold.bridge(views[f"stg_movie_{attribute}"]), allow_empty=True)
-    # A stored bridge holds the rows of its staging frame, so the marts read it instead.
-    genres, companies, countries, languages = (
-        stored[f"bridge_movie_{a}"] for a in ("genres", "companies", "countries", "languages")
-    )
+        # A stored bridge holds the rows of its staging frame, so later readers use it instead.
+        views[f"stg_movie_{attribute}"] = stored[name]
+    # Views whose checks would run them several times are stored with the run's work tables.
+    for name in ("int_yearly_movie_trends", "int_movie_financials"):
+        views[name] = layers.store("work", name, views[name], allow_empty=True)
     marts = {
-        "fact_movies": gold.fact_movies(views["stg_movies"], genres, companies, countries, languages),
-        "mart_genre_share": gold.mart_genre_share(genres),
-        "mart_language_share": gold.mart_language_share(languages),
-        "mart_country_summary": gold.mart_country_summary(countries),
+        "fact_movies": gold.fact_movies(
+            views["stg_movies"], views["stg_movie_genres"], views["stg_movie_companies"],
+            views["stg_movie_countries"], views["stg_movie_languages"],
+        ),
+        "mart_genre_share": gold.mart_genre_share(views["stg_movie_genres"]),
+        "mart_language_share": gold.mart_language_share(views["stg_movie_languages"]),
+        "mart_country_summary": gold.mart_country_summary(views["stg_movie_countries"]),
         "mart_yearly_trends": gold.mart_yearly_trends(views["int_yearly_movie_trends"]),
     }
     for name, df in marts.items():

@@ -5,7 +5,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marquee.contracts import NA_TOKENS, SOURCE_ORDER, Table
-from marquee.functions.text import na_to_null
+from marquee.functions.text import is_blank, na_to_null
 
 _RECORD = "_record"
 
@@ -57,7 +57,7 @@ def read_raw(
     separators = F.length(F.regexp_replace(F.regexp_replace(record, '"[^"]*+"', ""), "[^,]", ""))
     too_long = record.isNotNull() & (separators >= len(found))
     message = F.concat(F.lit(f"{table.name}: expected {len(found)} fields in record: "), record)
-    blank = F.coalesce(F.trim(record) == "", F.lit(False))
+    blank = record.isNotNull() & is_blank(record) & is_blank(F.col(found[0]))
     kept = lines.where(F.when(too_long, F.raise_error(message)).otherwise(~blank))
     tokens = tuple(na_tokens)
     texts = [(na_to_null(F.col(c), tokens) if tokens else F.col(c)).alias(c) for c in table.names]
