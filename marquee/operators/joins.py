@@ -36,7 +36,10 @@ def within_scope(df: DataFrame, scope: DataFrame, key: str) -> DataFrame:
 
 
 def orphans(children: Mapping[str, DataFrame], parent: DataFrame, key: str, label: str) -> DataFrame:
-    """Child rows without a parent, labelled by child table. NULL parent keys hide nothing."""
+    """Child rows without a parent, labelled by child table. NULL parent keys hide nothing.
+
+    The parent has one row per key; hot keys are on the left, the side that can be split.
+    """
     tagged = [df.select(F.lit(name).alias(label), key) for name, df in children.items()]
     everything = reduce(DataFrame.unionByName, tagged)
     return everything.join(parent.select(key), key, "left_anti").select(label, key)
@@ -45,7 +48,8 @@ def orphans(children: Mapping[str, DataFrame], parent: DataFrame, key: str, labe
 def missing_numbers(spark: SparkSession, expected: range, df: DataFrame, column: str) -> DataFrame:
     """Numbers of the expected series that do not occur in `column`."""
     series = spark.range(expected.start, expected.stop, expected.step, numPartitions=1)
-    found = df.select(F.col(column).cast("bigint").alias(column))
+    # Distinct first: the right side of an anti-join cannot be split when one value is hot.
+    found = df.select(F.col(column).cast("bigint").alias(column)).distinct()
     return series.select(F.col("id").alias(column)).join(found, column, "left_anti")
 
 

@@ -18,7 +18,7 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 def merge_names(standard: DataFrame, manual: DataFrame, code: str, name: str) -> DataFrame:
     """One name per code: the standard list first, the manual list for codes it lacks."""
     extra = manual.select(code, name).join(standard.select(code), code, "left_anti")
-    return standard.select(code, name).unionByName(extra).dropDuplicates([code])
+    return standard.select(code, name).unionByName(extra).groupBy(code).agg(F.min(name).alias(name))
 
 
 def lookup_name(df: DataFrame, names: DataFrame, code: str, name: str) -> DataFrame:

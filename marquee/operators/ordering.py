@@ -9,10 +9,10 @@ row when it is sorted.
 
 The bounds are an estimate whose value may differ between two runs of the same plan, while all
 uses within one result must agree on them. They are therefore computed once, when the operator
-is called, and kept: on the driver for a small number of groups, else in a checkpoint.
+is called. Up to BROADCAST_GROUPS groups they are kept on the driver and broadcast, as are the
+other per-group tables; with more groups they go to a checkpoint and joins shuffle.
 
-Group keys must not be NULL. `groups_at_most` is the caller's proven bound on the number of
-groups (years of a scope, listed windows); the per-group tables are broadcast only under it.
+Group keys must not be NULL.
 """
 
 from __future__ import annotations
@@ -29,19 +29,21 @@ _STEPS = tuple(1 << i for i in reversed(range(10)))
 BUCKETS = 2 * _STEPS[0]
 _FRACTIONS = [i / BUCKETS for i in range(1, BUCKETS)]
 
-# Groups whose tables may be broadcast: 1023 doubles each, so 8 MB of bounds at most.
-BROADCAST_GROUPS = 1_000
+# With this many groups the bounds take 2 MB and the counts per bucket 200,000 rows at most.
+BROADCAST_GROUPS = 200
 
 
-def _per_group(df: DataFrame, groups_at_most: int | None) -> DataFrame:
-    return F.broadcast(df) if groups_at_most and groups_at_most <= BROADCAST_GROUPS else df
+def _settled(df: DataFrame) -> tuple[DataFrame, bool]:
+    """A per-group frame computed now, so that every use of it sees the same values, and
+    whether it is small enough for it and its like to be broadcast."""
+    found = df.limit(BROADCAST_GROUPS + 1).toArrow()
+    if found.num_rows <= BROADCAST_GROUPS:
+        return F.broadcast(df.sparkSession.createDataFrame(found, df.schema)), True
+    return checkpointed(df), False
 
 
-def _settled(df: DataFrame, groups_at_most: int | None) -> DataFrame:
-    """A per-group frame computed now, so that every use of it sees the same values."""
-    if groups_at_most and groups_at_most <= BROADCAST_GROUPS:
-        return F.broadcast(df.sparkSession.createDataFrame(df.toArrow(), df.schema))
-    return checkpointed(df)
+def _hinted(df: DataFrame, few_groups: bool) -> DataFrame:
+    return F.broadcast(df) if few_groups else df
 
 
 def _doubles(values: Sequence[float]) -> Column:
@@ -68,7 +70,6 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     fractions: Mapping[str, float],
-    groups_at_most: int | None = None,
     weight: str | None = None,
     derived: bool = False,
 ) -> DataFrame:
@@ -88,9 +89,10 @@ def exact_percentiles(
     sketch = known.groupBy(*keys).agg(_bounds("_value").alias("_bounds"))
     if keys:
         bounds = F.col("_bounds")
-        known = known.join(_settled(sketch, groups_at_most), keys)
+        settled, few_groups = _settled(sketch)
+        known = known.join(settled, keys)
     else:
-        groups_at_most = 1
+        few_groups = True
         found = sketch.first()["_bounds"]
         bounds = _doubles(found) if found else F.array().cast("array<double>")
     tagged = known.select(*keys, "_value", "_times", _bucket(bounds, "_value").alias("_bucket"))
@@ -111,7 +113,7 @@ def exact_percentiles(
     ]
     hit = F.exists(F.array(*wanted), lambda p: (p >= F.col("_start")) & (p < F.col("_end")))
     # At most two buckets per group and fraction.
-    targets = _per_group(spans.where(hit).drop("_end"), groups_at_most)
+    targets = _hinted(spans.where(hit).drop("_end"), few_groups)
 
     by_value = Window.partitionBy(*keys, "_bucket").orderBy("_value")
     ladder = (
@@ -154,7 +156,7 @@ class Ranking:
 
 
 def _value_ladder(
-    df: DataFrame, keys: list[str], value: str, tie: str, stats: DataFrame, groups_at_most: int | None
+    df: DataFrame, keys: list[str], value: str, tie: str, stats: DataFrame, few_groups: bool
 ) -> DataFrame:
     """One row per group and distinct value: competition rank from the top, the neighbouring
     distinct values, and the first and last tie-break of the rows that share the value."""
@@ -162,7 +164,7 @@ def _value_ladder(
     tagged = (
         df.select(*keys, value, tie)
         .where(F.col(value).isNotNull())
-        .join(_per_group(bounds, groups_at_most), keys)
+        .join(_hinted(bounds, few_groups), keys)
         .select(*keys, value, tie, _bucket(F.col("_bounds"), value).alias("_bucket"))
     )
     down = Window.partitionBy(*keys).orderBy(F.desc("_bucket"))
@@ -181,7 +183,7 @@ def _value_ladder(
     return (
         tagged.groupBy(*keys, "_bucket", value)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(tie).alias("_first"), F.max(tie).alias("_last"))
-        .join(_per_group(spans, groups_at_most), [*keys, "_bucket"])
+        .join(_hinted(spans, few_groups), [*keys, "_bucket"])
         .select(
             *keys,
             value,
@@ -201,12 +203,11 @@ def rank_descending(
     keys: Sequence[str],
     tie: str,
     rankings: Sequence[Ranking],
-    groups_at_most: int | None = None,
 ) -> DataFrame:
     """Rank within the group by each value, highest first and NULLs last, ties sharing a rank
     and leaving a gap. Rows with equal values stand in the order of the unique column `tie`."""
     keys = list(keys)
-    stats = _settled(
+    stats, few_groups = _settled(
         df.groupBy(*keys).agg(*[
             column
             for value in {r.value: None for r in rankings}
@@ -216,12 +217,11 @@ def rank_descending(
                 F.min(value).alias(f"_lowest_{value}"),
                 F.min(F.when(F.col(value).isNull(), F.col(tie))).alias(f"_first_unknown_{value}"),
             )
-        ]),
-        groups_at_most,
+        ])
     )
     out = df
     for r in rankings:
-        ladder = _value_ladder(df, keys, r.value, tie, stats, groups_at_most)
+        ladder = _value_ladder(df, keys, r.value, tie, stats, few_groups)
         # Rows without a value match nothing; spreading them keeps them out of a single task.
         spread = F.when(F.col(r.value).isNull(), F.pmod(F.xxhash64(tie), F.lit(8192)).cast("int")).otherwise(-1)
         out = (
@@ -230,7 +230,7 @@ def rank_descending(
             .drop("_spread")
         )
     facts = stats.drop(*[f"_bounds_{r.value}" for r in rankings])
-    out = out.join(_per_group(facts, groups_at_most), keys)
+    out = out.join(_hinted(facts, few_groups), keys)
 
     columns = [F.col(c) for c in df.columns]
     for r in rankings:

@@ -39,13 +39,9 @@ def _long_form(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Da
     return df.select(*keys, F.inline(entries))
 
 
-def numeric_summary(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), groups_at_most: int | None = None
-) -> DataFrame:
+def numeric_summary(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Min, percentiles, mean, max, sample deviation and mean/median ratio, per column (and key)."""
     by = [*keys, "column_name"]
-    bound = (groups_at_most if keys else 1)
-    bound = bound * len(columns) if bound else None
     values = _long_form(df, keys, columns).where(F.col("value").isNotNull())
     moments = values.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
@@ -55,7 +51,7 @@ def numeric_summary(
         F.max("value").alias("max"),
         F.stddev_samp("value").alias("stddev"),
     )
-    percentiles = exact_percentiles(values, by, "value", SUMMARY_FRACTIONS, bound)
+    percentiles = exact_percentiles(values, by, "value", SUMMARY_FRACTIONS)
     return (
         moments.join(percentiles, by)
         .withColumn("mean_median_ratio", ratio(F.col("mean"), F.col("p50")))
@@ -119,7 +115,7 @@ def window_comparison(
     rows = in_windows(df.select(date, *columns), date, windows)
     counted = rows.groupBy("window").agg(F.count(F.lit(1)).alias("rows_in_window"))
     skews = (
-        numeric_summary(rows, columns, ["window"], len(windows))
+        numeric_summary(rows, columns, ["window"])
         .groupBy("window")
         .agg(*[
             F.round(F.max(F.when(F.col("column_name") == c, F.col("mean_median_ratio"))), decimals).alias(f"{c}_skew")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marquee.functions.dates import SCOPE_FROM, SCOPE_TO, in_scope, scope_years
+from marquee.functions.dates import SCOPE_FROM, SCOPE_TO, in_scope
 from marquee.functions.numbers import classify, mean_of, pct_of_total
 from marquee.operators.dedup import distinct_rows
 from marquee.operators.joins import within_scope
@@ -25,9 +26,14 @@ def stg_movies(movies: DataFrame, start: dt.date = SCOPE_FROM, end: dt.date = SC
     )
 
 
+def distinct_in_scope(pairs: DataFrame, scope: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct pairs in scope. Duplicates go before the join, while map tasks can drop them, so
+    a movie with very many rows reaches the join with few."""
+    return within_scope(distinct_rows(pairs, ["movie_id", *columns]), scope, "movie_id")
+
+
 def stg_movie_genres(genres: DataFrame, scope: DataFrame) -> DataFrame:
-    """Distinct pairs in scope. Duplicates go before the join, while map tasks can drop them."""
-    return within_scope(distinct_rows(genres, ["movie_id", "genre"]), scope, "movie_id")
+    return distinct_in_scope(genres, scope, ["genre"])
 
 
 def stg_movie_companies(companies: DataFrame, scope: DataFrame) -> DataFrame:
@@ -44,13 +50,13 @@ def stg_movie_languages(languages: DataFrame, scope: DataFrame) -> DataFrame:
 
 # Intermediate.
 
-def movie_financials(scope: DataFrame, years: int = len(scope_years())) -> DataFrame:
-    """Ranks within the year, neighbouring budgets and money tiers. `years` bounds the scope."""
+def movie_financials(scope: DataFrame) -> DataFrame:
+    """Ranks within the year, neighbouring budgets and money tiers."""
     columns = scope.select("movie_id", "movie_title", "release_year", "budget", "revenue")
     ranked = rank_descending(columns, ["release_year"], "movie_id", [
         Ranking("revenue", "revenue_rank_in_year"),
         Ranking("budget", "budget_rank_in_year", "higher_budget", "lower_budget"),
-    ], groups_at_most=years)
+    ])
     return ranked.select(
         "*",
         classify(F.col("budget")).alias("budget_tier"),
@@ -58,7 +64,7 @@ def movie_financials(scope: DataFrame, years: int = len(scope_years())) -> DataF
     )
 
 
-def yearly_aggregates(scope: DataFrame, years: int = len(scope_years()), unique_ids: bool = True) -> DataFrame:
+def yearly_aggregates(scope: DataFrame, unique_ids: bool = True) -> DataFrame:
     """Movies, known amounts, means and medians per year.
 
     With `unique_ids`, which the clean layer's gate guarantees, rows are movies and nothing
@@ -81,7 +87,7 @@ def yearly_aggregates(scope: DataFrame, years: int = len(scope_years()), unique_
         F.struct(F.lit(c).alias("amount"), F.col(c).cast("double").alias("value")) for c in ("budget", "revenue")
     ])))
     medians = exact_percentiles(
-        amounts, ["release_year", "amount"], "value", {"median": 0.5}, groups_at_most=2 * years
+        amounts, ["release_year", "amount"], "value", {"median": 0.5}
     ).groupBy("release_year").agg(*[
         F.max(F.when(F.col("amount") == c, F.col("median"))).alias(f"median_{c}") for c in ("budget", "revenue")
     ])
@@ -109,8 +115,8 @@ def yearly_trends_from(yearly: DataFrame) -> DataFrame:
     )
 
 
-def yearly_movie_trends(scope: DataFrame, years: int = len(scope_years()), unique_ids: bool = True) -> DataFrame:
-    return yearly_trends_from(yearly_aggregates(scope, years, unique_ids))
+def yearly_movie_trends(scope: DataFrame, unique_ids: bool = True) -> DataFrame:
+    return yearly_trends_from(yearly_aggregates(scope, unique_ids))
 
 
 # Marts.
@@ -135,6 +141,9 @@ def fact_movies(
     return fact.na.fill(0, ["genre_count", "company_count", "country_count", "language_count"])
 
 
+# The marts count distinct movies, so they take staging frames, stored bridges and the output of
+# distinct_in_scope alike.
+
 def mart_genre_share(stg_genres: DataFrame) -> DataFrame:
     return share_of_having(stg_genres, ["genre"], "movie_id", "movie_count", "total_movies", "pct_of_movies")
 

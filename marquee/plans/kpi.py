@@ -12,6 +12,7 @@ from marquee.functions.numbers import pct_of_total
 from marquee.operators.joins import within_scope
 from marquee.operators.profile import top_n
 from marquee.operators.shares import share_of_having
+from marquee.plans.gold import distinct_in_scope
 
 
 @dataclass(frozen=True)
@@ -74,12 +75,13 @@ def kpis(star: Mapping[str, DataFrame], filters: Filters = Filters(), language:
     Percentages refer to the filtered films that have any language, or any genre, at all.
     """
     movies = filtered_movies(star, filters)
-    languages = within_scope(star["bridge_movie_languages"], movies, "movie_id")
-    genres = within_scope(star["bridge_movie_genres"], movies, "movie_id")
+    genres = distinct_in_scope(star["bridge_movie_genres"], movies, ["genre"])
 
-    # Counting movies through one row each keeps this to a single distinct.
-    spoken = languages.groupBy("movie_id").agg(F.max(F.col("iso_language_code") == language).alias("speaks"))
-    language_pct = spoken.agg(
+    # One row per movie before the join, which also makes this a count without a distinct.
+    spoken = star["bridge_movie_languages"].groupBy("movie_id").agg(
+        F.max(F.col("iso_language_code") == language).alias("speaks")
+    )
+    language_pct = within_scope(spoken, movies, "movie_id").agg(
         pct_of_total(F.count_if("speaks"), F.count(F.lit(1))).alias("pct")
     ).scalar()
     leading = top_n(

@@ -42,16 +42,17 @@ def brute_ranks(data):
 
 def test_rank_against_brute_force(amounts):
     got = ordering.rank_descending(
-        amounts, ["year"], "id", [ordering.Ranking("value", "rank", "higher", "lower")], groups_at_most=2
+        amounts, ["year"], "id", [ordering.Ranking("value", "rank", "higher", "lower")]
     )
     want = brute_ranks([tuple(r) for r in amounts.collect()])
     assert {r["id"]: (r["rank"], r["higher"], r["lower"]) for r in got.collect()} == want
 
 
-def test_rank_without_group_bound(amounts):
-    """Unbounded groups go through a checkpoint and shuffle joins, with the same result."""
+def test_rank_with_many_groups(amounts, monkeypatch):
+    """Too many groups for a broadcast go through a checkpoint and shuffle joins, same result."""
     ranking = [ordering.Ranking("value", "rank", "higher", "lower")]
-    bounded = ordering.rank_descending(amounts, ["year"], "id", ranking, groups_at_most=2)
+    bounded = ordering.rank_descending(amounts, ["year"], "id", ranking)
+    monkeypatch.setattr(ordering, "BROADCAST_GROUPS", 1)
     unbounded = ordering.rank_descending(amounts, ["year"], "id", ranking)
     assert bounded.exceptAll(unbounded).isEmpty() and unbounded.exceptAll(bounded).isEmpty()
 
@@ -61,7 +62,7 @@ def test_rank_fixture(spark):
         [(1, 2000, 3.0), (2, 2000, 3.0), (3, 2000, 1.0), (4, 2000, None), (5, 2000, None), (6, 2001, None)],
         "id long, year int, value double",
     )
-    got = ordering.rank_descending(df, ["year"], "id", [ordering.Ranking("value", "rank", "higher", "lower")], 2)
+    got = ordering.rank_descending(df, ["year"], "id", [ordering.Ranking("value", "rank", "higher", "lower")])
     assert [(r["id"], r["rank"], r["higher"], r["lower"]) for r in got.orderBy("id").collect()] == [
         (1, 1, None, 3.0), (2, 1, 3.0, 1.0), (3, 3, 3.0, None), (4, 4, 1.0, None), (5, 4, None, None),
         (6, 1, None, None),
@@ -69,11 +70,12 @@ def test_rank_fixture(spark):
 
 
 @pytest.mark.parametrize("partitions", [1, 13])
-@pytest.mark.parametrize("bound", [2, None])
-def test_percentiles_match_spark(amounts, partitions, bound):
+@pytest.mark.parametrize("limit", [1, 200])
+def test_percentiles_match_spark(amounts, partitions, limit, monkeypatch):
+    monkeypatch.setattr(ordering, "BROADCAST_GROUPS", limit)
     fractions = {"low": 0.05, "mid": 0.5, "top": 0.99, "max": 1.0}
     df = amounts.repartition(partitions)
-    got = ordering.exact_percentiles(df, ["year"], "value", fractions, bound)
+    got = ordering.exact_percentiles(df, ["year"], "value", fractions)
     want = df.groupBy("year").agg(*[F.percentile("value", f).alias(n) for n, f in fractions.items()])
     for left, right in zip(rows(got, "year"), rows(want, "year")):
         assert left == pytest.approx(right)
@@ -176,7 +178,7 @@ def test_year_without_amounts(spark):
         "movie_id long, movie_title string, release_date date, release_year int, budget decimal(15,2), revenue decimal(15,2)",
     )
     for unique in (True, False):
-        row = gold.yearly_movie_trends(scope, 1, unique).first()
+        row = gold.yearly_movie_trends(scope, unique).first()
         assert (row["movie_count"], row["movies_with_budget"]) == (2, 0)
         assert row["avg_budget"] is None and row["median_budget"] is None
 

@@ -112,10 +112,12 @@ def profile_windows(spark, sf_dir):
            {sql_pct("count(*)", "(SELECT count(*) FROM stg_countries)", 1)}
     FROM stg_countries GROUP BY iso_country_code"""))
 def profile_shares(spark, sf_dir):
-    pairs, scope = standin.stg_countries(spark, sf_dir), standin.scope(spark, sf_dir)
+    countries, scope = standin.countries(spark, sf_dir), standin.scope(spark, sf_dir)
+    distinct = gold.distinct_in_scope(countries, scope, ["iso_country_code"])
+    pairs = {"scope": distinct, "having": distinct, "rows": standin.stg_countries(spark, sf_dir)}
     parts = [
-        shares.shares(pairs, ["iso_country_code"], "movie_id", d, scope).withColumn("denominator", F.lit(d))
-        for d in ("scope", "having", "rows")
+        shares.shares(df, ["iso_country_code"], "movie_id", d, scope).withColumn("denominator", F.lit(d))
+        for d, df in pairs.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

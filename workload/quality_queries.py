@@ -11,7 +11,7 @@ from marquee.operators.dedup import repeated
 from marquee.operators.profile import scope_summary as summarise
 from marquee.plans import gold, quality, silver
 from workload import rawtext, standin
-from workload.registry import YEARS, query, table, using
+from workload.registry import query, table, using
 
 
 @query(using("scope", "stg_genres", "countries", "companies", "languages", body="""
@@ -44,7 +44,7 @@ def orphans(spark, sf_dir):
     SELECT CAST(y AS BIGINT) AS release_year FROM generate_series(1980, 2016) AS s(y)
     WHERE y NOT IN (SELECT year(o_orderdate) FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000)""")
 def missing_years(spark, sf_dir):
-    trends = gold.yearly_aggregates(standin.scope(spark, sf_dir), YEARS)
+    trends = gold.yearly_aggregates(standin.scope(spark, sf_dir))
     return quality.missing_years(spark, trends)
 
 
@@ -114,7 +114,7 @@ def check_report(spark, sf_dir):
         "company_name", F.when(F.col("company_name").endswith("3"), F.lit("  ")).otherwise(F.col("company_name"))
     )
     wrong = movies.withColumnRenamed("budget", "cost")
-    trends = gold.yearly_trends_from(gold.yearly_aggregates(scope, YEARS)).withColumn(
+    trends = gold.yearly_trends_from(gold.yearly_aggregates(scope)).withColumn(
         "yoy_movie_count_delta", F.col("yoy_movie_count_delta") + 1
     )
     rest = silver.raw_faults()["movie_extended"]

@@ -12,7 +12,6 @@ ORACLES: dict[str, str] = {}
 
 # The stand-in scope drops the first and the last, partial, year of the orders.
 START, END = dt.date(1996, 1, 1), dt.date(2001, 1, 1)
-YEARS = 5
 
 
 def plain(df: DataFrame) -> DataFrame:

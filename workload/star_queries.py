@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marquee.functions.numbers import classify
 from marquee.plans import gold
 from workload import standin
-from workload.registry import YEARS, query, sql_pct, using
+from workload.registry import query, sql_pct, using
 
 _MOVIE = """movie_id, movie_title, CAST(release_date AS VARCHAR) AS release_date, release_year,
             CAST(budget AS DOUBLE) AS budget, CAST(revenue AS DOUBLE) AS revenue"""
@@ -48,13 +48,13 @@ _YEARLY = f"""
 
 @query(using("scope", body=f"{_YEARLY} SELECT * FROM trends"))
 def yearly_trends(spark, sf_dir):
-    return gold.yearly_movie_trends(standin.scope(spark, sf_dir), YEARS)
+    return gold.yearly_movie_trends(standin.scope(spark, sf_dir))
 
 
 @query(using("scope", body=f"""{_YEARLY}
     SELECT * EXCLUDE (prev_year_avg_budget, prev_year_avg_revenue) FROM trends ORDER BY release_year"""))
 def yearly_trends_mart(spark, sf_dir):
-    trends = gold.yearly_movie_trends(standin.scope(spark, sf_dir), YEARS, unique_ids=False)
+    trends = gold.yearly_movie_trends(standin.scope(spark, sf_dir), unique_ids=False)
     return gold.for_display(gold.mart_yearly_trends(trends), "release_year", descending=False)
 
 
@@ -73,7 +73,7 @@ _TIER = """CASE WHEN {0} IS NULL THEN 'Unknown' WHEN {0} >= 100000000 THEN 'Bloc
     FROM scope
     WINDOW w AS (PARTITION BY release_year ORDER BY budget DESC NULLS LAST, movie_id)"""))
 def order_financials(spark, sf_dir):
-    return gold.movie_financials(standin.scope(spark, sf_dir), YEARS)
+    return gold.movie_financials(standin.scope(spark, sf_dir))
 
 
 @query(using("movies", body=f"""
@@ -161,7 +161,8 @@ def type_share(spark, sf_dir):
 
 @query(_share("stg_languages", "iso_language_code, language_name"))
 def flag_share(spark, sf_dir):
-    mart = gold.mart_language_share(standin.stg_languages(spark, sf_dir))
+    pairs = gold.distinct_in_scope(standin.languages(spark, sf_dir), standin.scope(spark, sf_dir), gold.LANGUAGE)
+    mart = gold.mart_language_share(pairs)
     return gold.for_display(mart, "movie_count", *gold.LANGUAGE)
 
 
@@ -169,5 +170,6 @@ def flag_share(spark, sf_dir):
     SELECT {_COUNTRY}, count(DISTINCT movie_id) AS movie_count FROM stg_countries
     GROUP BY ALL ORDER BY movie_count DESC, iso_country_code"""))
 def nation_summary(spark, sf_dir):
-    mart = gold.mart_country_summary(standin.stg_countries(spark, sf_dir))
+    pairs = gold.distinct_in_scope(standin.countries(spark, sf_dir), standin.scope(spark, sf_dir), gold.COUNTRY)
+    mart = gold.mart_country_summary(pairs)
     return gold.for_display(mart, "movie_count", "iso_country_code")
