@@ -9,7 +9,7 @@ from marquee.functions.text import is_blank, is_empty_list, is_missing_amount
 from marquee.operators.joins import union_distinct
 
 _ANSWER = (
-    "budget decimal(15,2), revenue decimal(15,2), genres array<map<string,string>>, "
+    "budget decimal(38,2), revenue decimal(38,2), genres array<map<string,string>>, "
     "production_countries array<map<string,string>>, spoken_languages array<map<string,string>>, _broken string"
 )
 
@@ -32,7 +32,7 @@ def candidates(movies_main: DataFrame, movie_extended: DataFrame) -> DataFrame:
 
 
 def _amount(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0).cast("decimal(15,2)"))
+    return F.coalesce(value, F.lit(0).cast("decimal(38,2)"))
 
 
 def _names(entries: Column) -> Column:

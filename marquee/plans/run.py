@@ -137,6 +137,13 @@ def run(spark: SparkSession, inputs: Inputs, root: str, run_name: str) -> dict[s
     return reports
 
 
+def register_views(spark: SparkSession, root: str, run_name: str) -> None:
+    """Temporary views over a run, under the names of its tables, for SQL users."""
+    layers = Layers(spark, root, run_name)
+    for name, df in {**gold_views(layers), **star(spark, root, run_name)}.items():
+        df.createOrReplaceTempView(name)
+
+
 def star(spark: SparkSession, root: str, run_name: str) -> dict[str, DataFrame]:
     """The nine published tables of a run."""
     layers = Layers(spark, root, run_name)

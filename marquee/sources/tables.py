@@ -65,6 +65,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def first_rows(df: DataFrame, n: int = 1000) -> DataFrame:
+    """Some n rows, in no order, for a look at the data. Checks read all rows."""
+    return df.limit(n)
+
+
 def table_columns(spark: SparkSession, path: str) -> list[str]:
     """Ordered column names of a stored table."""
     columns = spark.read.parquet(path).columns

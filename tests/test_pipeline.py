@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marquee.contracts import CLEAN, STAR_TABLES
 from marquee.operators import checks
 from marquee.plans import gold, kpi, quality, silver
-from marquee.plans.run import Inputs, Layers, gold_views, run, star
+from marquee.plans.run import Inputs, Layers, gold_views, register_views, run, star
 from marquee.sources.tables import published
 
 # One movie in every year of the scope keeps the completeness check quiet.
@@ -157,6 +157,15 @@ def test_star(spark, done):
     assert rows(financials.where("movie_id = 863"), "budget_tier", "revenue_tier") == [("Micro-Budget", "Unknown")]
 
 
+def test_views_answer_sql(spark, done):
+    register_views(spark, str(done[0] / "out"), "r1")
+    row = spark.sql("""
+        SELECT count(*), count(*) FILTER (WHERE release_year = 1999), min(release_year), max(release_year)
+        FROM fact_movies""").first()
+    assert tuple(row) == (40, 4, 1980, 2016)
+    assert spark.sql("SELECT count(*) FROM stg_movies JOIN stg_movie_genres USING (movie_id)").first()[0] == 79
+
+
 def test_kpis(spark, done):
     tables = star(spark, str(done[0] / "out"), "r1")
     row = kpi.kpis(tables).first()

@@ -104,6 +104,11 @@ def test_verify_count(spark):
         tables.verify_count(spark.range(3), spark.range(2))
 
 
+def test_first_rows(spark):
+    assert tables.first_rows(spark.range(5000)).count() == 1000
+    assert tables.first_rows(spark.range(3)).count() == 3
+
+
 def test_declared_table_has_comments(spark):
     tables.declare_table(spark, "clean_test", CLEAN["movies"])
     tables.declare_table(spark, "clean_test", CLEAN["movies"])

@@ -66,7 +66,7 @@ def date_multi_format(spark, sf_dir):
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_tax <> 0 THEN l_tax END AS tax,
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, CASE WHEN l_tax <> 0 THEN l_tax END AS tax,
            CASE WHEN l_discount <> 0 THEN l_discount END AS discount FROM lineitem""")
 def zero_to_null_line(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(

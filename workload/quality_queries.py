@@ -49,8 +49,8 @@ def missing_years(spark, sf_dir):
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem
-    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS occurrences FROM lineitem
+    GROUP BY l_orderkey, lineitem.l_linenumber HAVING count(*) > 1""")
 def duplicate_pairs(spark, sf_dir):
     return repeated(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
