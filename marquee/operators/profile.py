@@ -46,8 +46,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     moments = values.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("value").alias("min"),
-        # A decimal sum does not depend on the order in which the tasks finish.
-        (F.sum(F.col("value").cast("decimal(22,4)")).cast("double") / F.count(F.lit(1))).alias("mean"),
+        F.avg("value").alias("mean"),
         F.max("value").alias("max"),
         F.stddev_samp("value").alias("stddev"),
     )
@@ -68,10 +67,7 @@ def skew(df: DataFrame, columns: Sequence[str], decimals: int = 2) -> DataFrame:
 def spread(df: DataFrame, column: str) -> DataFrame:
     """One row: mean, sample deviation and the threshold of three deviations above the mean."""
     value = F.col(column).cast("double")
-    stats = df.agg(
-        (F.sum(F.col(column).cast("decimal(22,4)")).cast("double") / F.count(column)).alias("mean"),
-        F.stddev_samp(value).alias("stddev"),
-    )
+    stats = df.agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("stddev"))
     return stats.withColumn("threshold", F.col("mean") + 3 * F.col("stddev"))
 
 

@@ -67,7 +67,7 @@ def date_multi_format(spark, sf_dir):
 
 @query("""
     SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, CASE WHEN l_tax <> 0 THEN l_tax END AS tax,
-           CASE WHEN l_discount <> 0 THEN l_discount END AS discount FROM lineitem""")
+           CASE WHEN l_discount <> 0 THEN l_discount END AS discount FROM lineitem""", name="zero_to_null")
 def zero_to_null_line(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
@@ -75,7 +75,7 @@ def zero_to_null_line(spark, sf_dir):
     )
 
 
-@query("SELECT doc_id, trim(source) AS padded, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_md5 FROM documents")
+@query("SELECT doc_id, trim(source) AS padded, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_md5 FROM documents", name="trim_unicode")
 def trim_unicode_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -187,7 +187,7 @@ def literal_list_nations(spark, sf_dir):
 
 
 @query("""
-    SELECT o_orderkey, o_orderstatus || '|' || o_custkey AS codes FROM orders""")
+    SELECT o_orderkey, o_orderstatus || '|' || o_custkey AS codes FROM orders""", name="coded_pairs")
 def pairs_roundtrip(spark, sf_dir):
     pairs = join_texts(F.array(
         F.concat(F.lit(" "), "o_orderstatus", F.lit(":a:b")), F.lit(" :blank"), F.lit("colonless"),

@@ -28,13 +28,13 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[simple(f) for f in df.schema.fields])
 
 
-def query(sql: str | None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with the SQL that gives the same rows."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, under its function's name if no other is given, with the SQL that gives
+    the same rows."""
     def register(build: Query) -> Query:
-        name = build.__name__
-        QUERIES[name] = lambda spark, sf_dir: plain(build(spark, sf_dir))
-        if sql is not None:
-            ORACLES[name] = sql
+        key = name or build.__name__
+        QUERIES[key] = lambda spark, sf_dir: plain(build(spark, sf_dir))
+        ORACLES[key] = sql
         return build
     return register
 
