@@ -79,8 +79,10 @@ def production_companies(
 
 def _codes(attached: DataFrame, raw: str, found: str, key: str, name: str) -> DataFrame:
     """One row per code. The raw list wins when it parses to anything, even to blank codes."""
-    chosen = prefer_list(literal_codes(F.col(raw), key), coded_pairs(F.col(found)))
-    codes = attached.select("movie_id", F.explode(chosen).alias("_code"))
+    # Parsed in a step of its own: the choice looks at the list twice and would parse it twice.
+    parsed = attached.select("movie_id", literal_codes(F.col(raw), key).alias("_listed"), found)
+    chosen = prefer_list(F.col("_listed"), coded_pairs(F.col(found)))
+    codes = parsed.select("movie_id", F.explode(chosen).alias("_code"))
     return codes.select("movie_id", trim_unicode(F.col("_code")).alias(name)).where(F.col(name) != "")
 
 
