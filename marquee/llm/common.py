@@ -49,3 +49,15 @@ def words(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: A stored table of at most so many bytes may be broadcast; in memory it can be a few times larger.
+BROADCAST_BYTES = 8 << 20
+
+
+def bounded_side(scratch: Scratch, stored: DataFrame, name: str) -> DataFrame:
+    """A stored table for the right side of a join: broadcast when its files are few bytes, else the
+    join shuffles, and adaptive execution splits hot keys of the other side."""
+    path = scratch._path(name)
+    held = path.getFileSystem(scratch._conf()).getContentSummary(path).getLength()
+    return F.broadcast(stored) if held <= BROADCAST_BYTES else stored
