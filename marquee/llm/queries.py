@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, html_text, near_dup, quality_rules, secret_scan
+from marquee.llm import bpe, decontaminate, html_text, near_dup, quality_rules, secret_scan
 from marquee.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
