@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontaminate, html_text, near_dup, quality_rules, repeats, secret_scan
+from marquee.llm import bpe, decontaminate, html_text, near_dup, pii, quality_rules, repeats, secret_scan
 from marquee.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(table(spark, sf_dir, "documents")).drop("runs")
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
