@@ -34,7 +34,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import whole_text
+from marquee.llm.common import Scratch, whole_text
 
 #: So many of the most frequent words go into the lexicon.
 LEXICON_WORDS = 1 << 18
@@ -42,6 +42,11 @@ LEXICON_WORDS = 1 << 18
 REMEMBERED = 400_000
 LONG = 48
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same for texts of Latin letters and usual signs, which the standard library splits faster.
+LATIN = "a-zªµºÀ-ÖØ-öø-ɏ"
+LATIN_NUMBERS = "0-9²³¹¼-¾"
+LATIN_SPLIT = re.compile(rf"[{LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[{LATIN_NUMBERS}]|[^\s{LATIN}{LATIN_NUMBERS}]+")
+NOT_LATIN = re.compile("[^\u0000-\u001b\u0020-\u0084\u0086-\u024f‐-‧]")
 # Outside these blocks a character may be newer than Python's tables; such texts take the slow way.
 MAYBE_NEW = re.compile("[^\u0000-ͷЀ-ԯḀ-ỿ‐-‧ぁ-ゖ一-鿿가-힣]")
 
@@ -70,11 +75,11 @@ class Model:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.ranks = {(a, b): i for i, (a, b) in enumerate(pairs)}
         self.tokens = {i: t for t, i in (self.vocab | self.specials).items()}
+        self.signs = byte_signs()
 
     def merged(self, word: str) -> list[int]:
         """The ids of one word: the adjacent pair of lowest rank, leftmost first, is merged until none is left."""
-        signs = byte_signs()
-        parts = [signs[b] for b in word.encode("utf-8")]
+        parts = [self.signs[b] for b in word.encode("utf-8")]
         parts[-1] += "</w>"
         parts = self._short(parts) if len(parts) <= LONG else self._long(parts)
         return [self.vocab[p] for p in parts]
@@ -206,8 +211,10 @@ class Splitter:
         self.slow = None
 
     def words(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.pattern.findall(text.lower())
+        if not NOT_LATIN.search(text):
+            lower = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).lower()
+            if not NOT_LATIN.search(lower):
+                return LATIN_SPLIT.findall(lower)
         if MAYBE_NEW.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
             return self._newer(text)
         # Lower case goes sign by sign there, so the final form of sigma must not come in.
@@ -274,15 +281,25 @@ def _count_words(model: Model):
 
 
 def frequent_words(docs: DataFrame, model: Model, size: int = LEXICON_WORDS) -> DataFrame:
-    """word, ids of the `size` most frequent words of all documents."""
+    """word, ids of the most frequent words of all documents, `size` at most and equally frequent ones
+    together. Words are counted and chosen where they are; only a histogram comes to the driver."""
     def encode(batches):
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"word": batch.column(0), "ids": pa.array(
                 [model.merged(w) for w in batch.column(0).to_pylist()], pa.list_(pa.int32()))})
 
+    scratch = Scratch(docs.sparkSession)
     counted = docs.select(whole_text().alias("t")).mapInArrow(_count_words(model), "word string, n long")
-    counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    return counted.orderBy(F.desc("n"), "word").limit(size).select("word").mapInArrow(encode, "word string, ids array<int>")
+    counted = scratch.keep(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # The least frequency, on a scale of eighths of powers of two, at which the words are few enough.
+    level = F.floor(F.log2("n") * 8)
+    words, least = 0, None
+    for k, n in counted.groupBy(level).count().orderBy(F.desc(level)).collect():
+        if words + n > size:
+            break
+        words, least = words + n, k
+    return counted.where(F.lit(False) if least is None else level >= least).select("word").mapInArrow(
+        encode, "word string, ids array<int>")
 
 
 def publish_lexicon(docs: DataFrame, model: Model, size: int = LEXICON_WORDS) -> str:
