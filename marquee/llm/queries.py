@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontaminate, html_text, near_dup, pii, quality_rules, repeats, secret_scan
+from marquee.llm import bpe, decontaminate, fixity, html_text, near_dup, ordinal, pii, quality_rules, repeats, secret_scan
 from marquee.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,28 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixity.pages_audit(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op3_fixity"] = """
+    WITH r AS (
+        SELECT page_id, length('WARC/1.1__WARC-Type: resource__WARC-Target-URI: ') + strlen(coalesce(url, ''))
+               + length('__Content-Type: text/html__Content-Length: ') + length(CAST(strlen(coalesce(html, '')) AS VARCHAR))
+               + 4 + strlen(coalesce(html, '')) + 4 AS length
+        FROM pages),
+    o AS (
+        SELECT page_id, CAST(length AS BIGINT) AS length,
+               CAST(sum(length) OVER (ORDER BY page_id ROWS UNBOUNDED PRECEDING) - length AS BIGINT) AS "offset"
+        FROM r)
+    SELECT page_id, "offset", length, CASE WHEN page_id % 499 = 7 THEN 'missing' ELSE 'changed' END AS fault
+    FROM o WHERE page_id % 97 = 13 OR page_id % 311 = 5 OR page_id % 499 = 7
+"""
+
+
+@query
+def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal.grade(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
