@@ -82,3 +82,11 @@ ORACLES["op3_fixity"] = """
 @query
 def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.grade(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The stages stand at the top of the repository and use this subpackage.
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
