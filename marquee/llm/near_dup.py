@@ -29,7 +29,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.llm.common import Scratch, bounded_side
 from marquee.llm.components import components
@@ -37,6 +37,8 @@ from marquee.llm.components import components
 SHINGLE = 5
 THRESHOLD_PERCENT = 85
 BANDS, ROWS = 16, 4
+#: In a bucket of at most so many members all pairs of different components are compared.
+DIRECT = 24
 SLOTS = BANDS * ROWS
 REMEMBERED = 1_000_000
 CHUNK = 400_000
@@ -93,11 +95,12 @@ def _fill(sets: list[np.ndarray], slots: np.ndarray) -> None:
     seeds = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     walk = None
+    steps = np.arange(1, 2 * SLOTS + 1, dtype=np.uint64) * _STEP
     for rank in range(SLOTS):
         if not len(seeds):
             return
-        draw = mix(seeds + _STEP * np.uint64(2 * rank + 1))
-        pick = rank + (mix(seeds + _STEP * np.uint64(2 * rank + 2)) >> np.uint64(33)).astype(np.int64) % (SLOTS - rank)
+        draw = mix(seeds + steps[2 * rank])
+        pick = rank + (mix(seeds + steps[2 * rank + 1]) >> np.uint64(33)).astype(np.int64) % (SLOTS - rank)
         value = rank + (draw >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
         if walk is None:
             slot = pick
@@ -153,6 +156,13 @@ def _confirm(batches):
         yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")})
 
 
+def _sets(batches):
+    hashes = WordHashes()
+    for batch in batches:
+        sets = [shingles(t, hashes).view(np.int64) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("class", "n", "root")} | {"elements": pa.array(sets, pa.list_(pa.int64()))})
+
+
 class _Search:
     """The steps of one run; everything that is used more than once is stored."""
 
@@ -209,16 +219,15 @@ class _Search:
             roots = components(self.scratch, links, f"roots{self.step}-")
             open_rows = self._apart(roots)
             if full:
-                other = open_rows.select("bucket", F.col("class").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"))
-                pairs = open_rows.join(other, "bucket").where((F.col("root") < F.col("root2")) & near)
+                pairs = self._direct(open_rows, near).union(self._by_prefix(open_rows))
             else:
                 # The most central member outside the component of the first center.
                 heads = open_rows.groupBy("bucket").agg(F.max_by("root", F.struct("weight", "class")).alias("head"))
                 rest = open_rows.join(heads, "bucket").where("root <> head").groupBy("bucket").agg(
                     center.alias("b"), F.max_by("n", F.struct("weight", "class")).alias("n2"),
                     F.max_by("root", F.struct("weight", "class")).alias("root2"))
-                pairs = open_rows.join(rest, "bucket").where((F.col("root") != F.col("root2")) & near)
-            more = self.confirmed(pairs.select(F.col("class").alias("a"), "b").distinct())
+                pairs = open_rows.join(rest, "bucket").where((F.col("root") != F.col("root2")) & near).select(F.col("class").alias("a"), "b")
+            more = self.confirmed(pairs.distinct())
             links = links.union(more)
         return components(self.scratch, links, "final-")
 
@@ -227,9 +236,41 @@ class _Search:
         rooted = self.buckets.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
             "root", F.coalesce("root", "class"))
         rooted = self.scratch.keep(rooted, f"rooted{self.step}")
-        apart = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+        apart = rooted.groupBy("bucket").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high").select("bucket", "size")
         return rooted.join(apart, "bucket")
 
+    @staticmethod
+    def _direct(open_rows: DataFrame, near: Column) -> DataFrame:
+        rows = open_rows.where(F.col("size") <= DIRECT)
+        other = rows.select("bucket", F.col("class").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"))
+        return rows.join(other, "bucket").where((F.col("root") < F.col("root2")) & near).select(F.col("class").alias("a"), "b")
+
+    def _by_prefix(self, open_rows: DataFrame) -> DataFrame:
+        """All pairs of different components that can reach the threshold, among the members of large
+        buckets; a pair that shares no rare element is never made."""
+        held = open_rows.where(F.col("size") > DIRECT).select("class", "n", "root").distinct()
+        held = self.scratch.keep(held.join(self.classes.select(
+            "class", F.col("text.doc_id").alias("i"), F.col("text.text_hash").alias("h")), "class"), "large")
+        same = self.docs["doc_id"].eqNullSafe(F.col("i")) & (self.docs["text_hash"] == F.col("h"))
+        texts = self.docs.join(bounded_side(self.scratch, held, "large"), same).select("class", "n", "root", "text")
+        sets = texts.mapInArrow(_sets, "class binary, n long, root binary, elements array<long>").dropDuplicates(["class"])
+        rows = self.scratch.keep(sets.select("class", "n", "root", F.explode("elements").alias("element")), "elements")
+        often = rows.groupBy("element").agg(F.count("*").alias("f"))
+        ordered = rows.join(often, "element").groupBy("class", "n", "root").agg(
+            F.sort_array(F.collect_list(F.struct("f", "element"))).alias("elements"))
+        # Shares of the set that a partner of any size, or of at least this size, must have.
+        t = THRESHOLD_PERCENT
+        prefix = (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")
+        rows = self.scratch.keep(ordered.select(
+            "class", "n", "root", F.posexplode(F.slice("elements", F.lit(1), prefix)).alias("at", "e")).where("e.f > 1").select(
+            "class", "n", "root", "at", "e.element"), "prefixes")
+        long = rows.select("element", F.col("class").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("at").alias("at2"))
+        short = rows.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * 2 * t / (100 + t)))
+        left = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
+        fits = (F.col("n") <= F.col("n2")) & (F.col("n") * 100 >= F.col("n2") * t) & (left * (100 + t) >= (F.col("n") + F.col("n2")) * t)
+        return short.join(long, "element").where((F.col("root") != F.col("root2")) & fits).select(F.col("class").alias("a"), "b").distinct()
+
     def result(self) -> DataFrame:
         """doc_id, text_hash, n_shingles, component_id, kept of every row."""
         self.sign()

@@ -50,8 +50,9 @@ def corpus(seed=5):
     return list(enumerate(texts, 100))
 
 
-@pytest.mark.parametrize("bound", [8 << 20, -1])
-def test_components_equal_brute_force(spark, monkeypatch, bound):
+@pytest.mark.parametrize("bound,direct", [(8 << 20, 24), (-1, 24), (8 << 20, 1)])
+def test_components_equal_brute_force(spark, monkeypatch, bound, direct):
+    monkeypatch.setattr(n, "DIRECT", direct)
     monkeypatch.setattr("marquee.llm.common.BROADCAST_BYTES", bound)
     rows = corpus()
     docs = spark.createDataFrame([(i, t, 3) for i, t in rows], SCHEMA).repartition(5)
@@ -64,9 +65,9 @@ def test_group_around_a_middle_text(spark):
     rng = random.Random(9)
     base = [f"x{i}" for i in range(150)]
     rows = [(50, " ".join(base))]
-    for i in range(40):
-        copy = list(base)
-        for at in rng.sample(range(3, 147), 2):
+    for i in range(120):
+        copy = list(base if i < 60 else rng.choice(rows)[1].split())
+        for at in rng.sample(range(3, 147), rng.choice((1, 2, 3, 4))):
             copy[at] = f"y{i}"
         rows.append((100 + i, " ".join(copy)))
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], SCHEMA)
