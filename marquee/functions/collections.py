@@ -1,15 +1,14 @@
 from __future__ import annotations
 
+import ast
 import re
-from functools import reduce
+import warnings
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from marquee.functions.text import trim_unicode
 
-_QUOTED = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
-_JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-
 
 def split_tokens(text: Column, separator: str = ",") -> Column:
     """Trimmed, non-empty parts in order, duplicates kept; separator is taken literally."""
@@ -21,47 +20,67 @@ def join_texts(texts: Column, separator: str) -> Column:
     return F.array_join(texts, separator)
 
 
-def _skeleton(text: Column) -> Column:
-    """The text with every quoted string replaced by S, for tests on its structure alone."""
-    return F.regexp_replace(text, "(?s)" + _QUOTED, "S")
-
-
-def _mentions(text: Column, *words: str) -> Column:
-    """Cheap test that spares most rows a regular expression."""
-    return reduce(lambda left, right: left | right, (text.contains(w) for w in words))
-
-
-def _is_list(text: Column) -> Column:
-    bare = trim_unicode(text)
-    return bare.startswith("[") & bare.endswith("]")
+def _plain_list(code: str) -> str:
+    """The pattern of a list of mappings as Python usually prints it: strings without escapes or braces,
+    whole numbers and the three words as values, and the code, a string, just once in each mapping."""
+    key = re.escape(f"'{code}'")
+    gap, single = r"[ \t\n]*+", r"'[^'\\{}\n\r\x00]*+'"
+    double = rf'"(?:(?!{key})[^"\\{{}}\n\r\x00])*+"'
+    other = rf"(?!{key}){single}{gap}:{gap}(?:{single}|{double}|None|True|False|-?(?:0|[1-9][0-9]*+)){gap}"
+    entry = rf"\{{{gap}(?:{other},{gap})*+{key}{gap}:{gap}{single}{gap}(?:,{gap}{other})*+,?{gap}\}}{gap}"
+    return rf"^[ \t]*+\[{gap}(?:{entry}(?:,{gap}{entry})*+,?{gap})?+\][ \t\n]*+$"
+
+
+def _python_list(code: str):
+    """Any other text, read by Python's own literal parser."""
+    def read(text: str | None):
+        if text is None:
+            return None
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                value = ast.literal_eval(text)
+        except Exception:  # the parser raises many kinds; each means that this is no literal
+            return {"codes": [], "fault": False, "broken": text.lstrip().startswith("[")}
+        if not isinstance(value, list):
+            return {"codes": [], "fault": False, "broken": False}
+        mappings = [entry for entry in value if isinstance(entry, dict)]
+        codes = [entry.get(code) for entry in mappings]
+        odd = len(mappings) < len(value) or any(code in m and not isinstance(m[code], str) for m in mappings)
+        return {"codes": [c if isinstance(c, str) else None for c in codes], "fault": odd, "broken": False}
+
+    @F.pandas_udf("codes array<string>, fault boolean, broken boolean")
+    def parsed(texts: pd.Series) -> pd.DataFrame:
+        nothing = {"codes": None, "fault": None, "broken": None}
+        return pd.DataFrame([read(t) or nothing for t in texts], columns=list(nothing))
+    return parsed
+
+
+def _unusual(text: Column, code: str) -> Column:
+    """What Python makes of a list in an unusual form; NULL, and hardly any work, for the other rows."""
+    return _python_list(code)(F.when(text.contains("[") & ~text.rlike(_plain_list(code)), text))
 
 
 def literal_codes(text: Column, code: str) -> Column:
     """The `code` entry of each mapping in a Python-literal list of mappings.
 
     Never NULL: a missing, blank, malformed or non-list text gives an empty array. A mapping
-    without the entry gives NULL in its place, so callers can tell "no list" from "no code".
+    without the entry gives NULL in its place, so callers can tell "no list" from "no code". Lists
+    in the usual form are read by one regular expression, all others by Python's literal parser.
     """
-    words = F.regexp_replace(text, r"(:\s*)None(?=\s*[,}])", "$1null")
-    words = F.regexp_replace(words, r"(:\s*)True(?=\s*[,}])", "$1true")
-    words = F.regexp_replace(words, r"(:\s*)False(?=\s*[,}])", "$1false")
-    worded = F.when(_mentions(text, "None", "True", "False"), words).otherwise(text)
-    # Inside an outer object the parser also rejects anything that follows the list.
-    as_json = F.concat(F.lit('{"items":'), F.regexp_replace(worded, r",\s*([\]}])", "$1"), F.lit("}"))
-    parsed = F.from_json(as_json, f"items array<struct<`{code}` string>>", _JSON_OPTIONS)
-    # The words of JSON itself make the text malformed, unless they stand inside a string.
-    json_words = _mentions(text, "null", "true", "false") & _skeleton(text).rlike(r"\b(null|true|false)\b")
+    usual = F.regexp_extract_all(text, F.lit(rf"[{{,][ \t\n]*'{re.escape(code)}'[ \t\n]*:[ \t\n]*'([^']*)'"), F.lit(1))
     return F.coalesce(
-        F.when(_is_list(text) & ~json_words, parsed["items"][code]), F.array().cast("array<string>")
-    )
+        F.when(text.rlike(_plain_list(code)), usual), _unusual(text, code)["codes"], F.array().cast("array<string>"))
 
 
 def literal_fault(text: Column, code: str) -> Column:
     """True where a list holds an entry that is no mapping, or a code that is no string."""
-    outside = F.regexp_replace(_skeleton(text), r"\{[^{}]*+\}", "")
-    odd_entry = F.regexp_replace(outside, r"[\s,]", "").rlike(r"^\[[SNoneTrueFals0-9+.-]+\]$")
-    odd_code = text.rlike(rf"""(?s)[{{,]\s*(['"]){code}\1\s*:\s*(None|True|False|[0-9\[{{(+.-])""")
-    return F.coalesce(_is_list(text) & (odd_entry | odd_code), F.lit(False))
+    return F.coalesce(_unusual(text, code)["fault"], F.lit(False))
+
+
+def literal_broken(text: Column, code: str) -> Column:
+    """True where a text starts like a list but is no literal; it counts as an empty list."""
+    return F.coalesce(_unusual(text, code)["broken"], F.lit(False))
 
 
 def coded_pairs(text: Column) -> Column:

@@ -12,7 +12,8 @@ uses within one result must agree on them. They are therefore computed once, whe
 is called. Up to BROADCAST_GROUPS groups they are kept on the driver and broadcast, as are the
 other per-group tables; with more groups they go to a checkpoint and joins shuffle.
 
-Group keys must not be NULL.
+A group key may be NULL: the keys of a row are packed into one struct, and structs with NULL in the
+same places are equal, also as join keys. So rows without a key are a group of their own.
 """
 
 from __future__ import annotations
@@ -51,6 +52,15 @@ def _doubles(values: Sequence[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
+def _packed(keys: Sequence[str]) -> Column:
+    """The group keys as one value that is never NULL; without keys all rows are one group."""
+    return F.struct(*[F.col(k) for k in keys] or [F.lit(0).alias("all")]).alias("_key")
+
+
+def _unpacked(keys: Sequence[str]) -> list[Column]:
+    return [F.col("_key")[k].alias(k) for k in keys]
+
+
 def _bounds(value: str) -> Column:
     return F.percentile_approx(value, _doubles(_FRACTIONS), F.lit(10_000))
 
@@ -80,9 +90,9 @@ def exact_percentiles(
     row counts. The input is read three times; say `derived` if it comes out of joins or
     aggregations, and its keys and values are stored once instead.
     """
-    keys = list(keys)
+    names, keys = list(keys), ["_key"] if keys else []
     times = F.col(weight) if weight else F.lit(1)
-    numeric = df.select(*keys, F.col(value).cast("double").alias("_value"), times.cast("bigint").alias("_times"))
+    numeric = df.select(*[_packed(names) for _ in keys], F.col(value).cast("double").alias("_value"), times.cast("bigint").alias("_times"))
     if derived:
         numeric = checkpointed(numeric)
     known = numeric.where(F.col("_value").isNotNull())
@@ -141,7 +151,7 @@ def exact_percentiles(
         exact = F.lit(fraction) * (F.col("_total") - 1)
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         out.append((low + (high - low) * (exact - F.floor(exact))).alias(name))
-    return picked.select(*keys, *out)
+    return picked.select(*_unpacked(names), *out)
 
 
 @dataclass(frozen=True)
@@ -205,8 +215,11 @@ def rank_descending(
     rankings: Sequence[Ranking],
 ) -> DataFrame:
     """Rank within the group by each value, highest first and NULLs last, ties sharing a rank
-    and leaving a gap. Rows with equal values stand in the order of the unique column `tie`."""
-    keys = list(keys)
+    and leaving a gap. Rows with equal values stand in the order of the unique column `tie`.
+    Without keys all rows are one group."""
+    packed = _packed(keys)
+    keys, shown = ["_key"], df.columns
+    df = df.withColumn("_key", packed)
     stats, few_groups = _settled(
         df.groupBy(*keys).agg(*[
             column
@@ -232,7 +245,7 @@ def rank_descending(
     facts = stats.drop(*[f"_bounds_{r.value}" for r in rankings])
     out = out.join(_hinted(facts, few_groups), keys)
 
-    columns = [F.col(c) for c in df.columns]
+    columns = [F.col(c) for c in shown]
     for r in rankings:
         value, place, step = F.col(r.value), F.col(tie), F.col(f"_step_{r.value}")
         known = value.isNotNull()

@@ -51,17 +51,27 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
         F.stddev_samp("value").alias("stddev"),
     )
     percentiles = exact_percentiles(values, by, "value", SUMMARY_FRACTIONS)
+    # A key may be NULL, so the keys are compared as one struct.
+    packed = percentiles.select(F.struct(*by).alias("_key"), *SUMMARY_FRACTIONS)
     return (
-        moments.join(percentiles, by)
+        moments.withColumn("_key", F.struct(*by)).join(packed, "_key")
         .withColumn("mean_median_ratio", ratio(F.col("mean"), F.col("p50")))
         .select(*by, "n", "min", *SUMMARY_FRACTIONS, "mean", "max", "stddev", "mean_median_ratio")
     )
 
 
+def _mean_median(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Mean over median per column (and key), without the rest of the summary."""
+    by = [*keys, "column_name"]
+    values = _long_form(df, keys, columns).where(F.col("value").isNotNull())
+    means = values.groupBy(*by).agg(F.avg("value").alias("mean")).withColumn("_key", F.struct(*by))
+    middle = exact_percentiles(values, by, "value", {"p50": 0.5}).select(F.struct(*by).alias("_key"), "p50")
+    return means.join(middle, "_key").select(*by, ratio(F.col("mean"), F.col("p50")).alias("mean_median_ratio"))
+
+
 def skew(df: DataFrame, columns: Sequence[str], decimals: int = 2) -> DataFrame:
     """Mean over median per column."""
-    summary = numeric_summary(df, columns)
-    return summary.select("column_name", F.round("mean_median_ratio", decimals).alias("skew"))
+    return _mean_median(df, columns).select("column_name", F.round("mean_median_ratio", decimals).alias("skew"))
 
 
 def spread(df: DataFrame, column: str) -> DataFrame:
@@ -111,7 +121,7 @@ def window_comparison(
     rows = in_windows(df.select(date, *columns), date, windows)
     counted = rows.groupBy("window").agg(F.count(F.lit(1)).alias("rows_in_window"))
     skews = (
-        numeric_summary(rows, columns, ["window"])
+        _mean_median(rows, columns, ["window"])
         .groupBy("window")
         .agg(*[
             F.round(F.max(F.when(F.col("column_name") == c, F.col("mean_median_ratio"))), decimals).alias(f"{c}_skew")

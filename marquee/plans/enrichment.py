@@ -56,9 +56,11 @@ def flatten_answers(payloads: DataFrame) -> DataFrame:
     Unparsable answers, ids that are no integers and genre lists with a null name are dropped.
     """
     answer = F.from_json("payload", _ANSWER, {"columnNameOfCorruptRecord": "_broken"})
+    # One row each comes out of a generator: later steps cannot be folded into the parse, which would
+    # repeat it for every filter and column.
     parsed = payloads.where(
         F.col("payload").rlike(r"^\s*\{") & F.col("id").rlike(r"^\s*[+-]?[0-9]+\s*$")
-    ).select("id", answer.alias("a")).where("a._broken IS NULL")
+    ).select("id", F.inline(F.array(F.struct(answer.alias("a"))))).where("a._broken IS NULL")
     nameless = F.exists("a.genres", lambda e: e.isNull() | (F.map_contains_key(e, "name") & e["name"].isNull()))
     return parsed.where(~F.coalesce(nameless, F.lit(False))).select(
         F.trim("id", F.lit(" \t\n\r")).cast("bigint").alias("movie_id"),

@@ -12,7 +12,7 @@ from marquee.functions.numbers import TIER_LABELS
 from marquee.operators import checks as c
 from marquee.operators.joins import missing_numbers, orphans
 from marquee.plans.dimensions import REGION_NAMES
-from marquee.plans.silver import raw_faults
+from marquee.plans.silver import raw_faults, raw_warnings
 
 BRIDGES = ("bridge_movie_genres", "bridge_movie_languages", "bridge_movie_countries", "bridge_movie_companies")
 
@@ -32,7 +32,10 @@ def bronze_checks(
                 f"{name}.id_not_null": c.not_null("id"),
                 **{f"{name}.{fault}": count for fault, count in raw_faults()[name].items()},
             }),
-            c.table_checks(df, {f"{name}.no_empty_rows": c.no_empty_rows(table.names)}, c.WARN),
+            c.table_checks(df, {
+                f"{name}.no_empty_rows": c.no_empty_rows(table.names),
+                **{f"{name}.{found}": count for found, count in raw_warnings()[name].items()},
+            }, c.WARN),
         ]
     return c.report(parts)
 

@@ -13,7 +13,7 @@ from marquee.operators.lookup import merge_names
 from marquee.plans import enrichment, gold, quality, silver
 from marquee.plans.dimensions import manual_countries, manual_languages, region_dimension
 from marquee.sources.csv import read_raw
-from marquee.sources.tables import publish, read_table, write_table
+from marquee.sources.tables import publish, published, published_runs, read_table, write_table
 
 Report = list[tuple[str, str, int]]
 
@@ -126,7 +126,11 @@ def run_gold(spark: SparkSession, layers: Layers) -> Report:
 
 
 def run(spark: SparkSession, inputs: Inputs, root: str, run_name: str) -> dict[str, Report]:
-    """Run every layer; readers see the result only after the last gate has passed."""
+    """Run every layer; readers see the result only after the last gate has passed. The name of a run
+    that was published is refused, so nothing that readers see is ever written to; the name of a run
+    that failed may be used again."""
+    if run_name in published_runs(spark, root):
+        raise ValueError(f"run {run_name!r} is published; choose another name")
     layers = Layers(spark, root, run_name)
     reports = {
         "bronze": run_bronze(spark, inputs, layers),
@@ -137,14 +141,15 @@ def run(spark: SparkSession, inputs: Inputs, root: str, run_name: str) -> dict[s
     return reports
 
 
-def register_views(spark: SparkSession, root: str, run_name: str) -> None:
-    """Temporary views over a run, under the names of its tables, for SQL users."""
+def register_views(spark: SparkSession, root: str, run_name: str | None = None) -> None:
+    """Temporary views over a run, the published one by default, under the names of its tables."""
+    run_name = run_name or published(spark, root)
     layers = Layers(spark, root, run_name)
     for name, df in {**gold_views(layers), **star(spark, root, run_name)}.items():
         df.createOrReplaceTempView(name)
 
 
-def star(spark: SparkSession, root: str, run_name: str) -> dict[str, DataFrame]:
-    """The nine published tables of a run."""
-    layers = Layers(spark, root, run_name)
+def star(spark: SparkSession, root: str, run_name: str | None = None) -> dict[str, DataFrame]:
+    """The nine tables of a run, the published one by default."""
+    layers = Layers(spark, root, run_name or published(spark, root))
     return {name: layers.read("gold", name) for name in STAR_TABLES}

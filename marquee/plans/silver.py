@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.contracts import SOURCE_ORDER
-from marquee.functions.collections import coded_pairs, literal_codes, literal_fault, prefer_list, split_tokens
+from marquee.functions.collections import coded_pairs, literal_broken, literal_codes, literal_fault, prefer_list, split_tokens
 from marquee.functions.dates import parse_date
 from marquee.functions.numbers import is_fractional, to_key, to_money
 from marquee.functions.text import first_filled, same_word, trim_unicode
@@ -121,3 +121,14 @@ def raw_faults() -> dict[str, dict[str, Column]]:
             "odd_language_list": F.count_if(literal_fault(F.col("spoken_languages"), "iso_639_1")),
         },
     }
+
+
+def raw_warnings() -> dict[str, dict[str, Column]]:
+    """Raw values that the cleaner reads as empty though they look like more."""
+    return {
+        "movies_main": {},
+        "movie_extended": {
+            "broken_country_list": F.count_if(literal_broken(F.col("production_countries"), "iso_3166_1")),
+            "broken_language_list": F.count_if(literal_broken(F.col("spoken_languages"), "iso_639_1")),
+        },
+    }

@@ -48,19 +48,43 @@ def storage_cast(df: DataFrame, table: Table) -> DataFrame:
 def write_table(df: DataFrame, path: str, table: Table | None = None, allow_empty: bool = False) -> int:
     """Replace the table at `path` and return its row count, read back from what was stored.
 
-    Rewriting gives the same table, so a failed run is simply run again. Spark refuses to
-    overwrite a path that the same plan reads. Paths belong to one run (see `publish`), so an
-    empty result is refused before any reader can see it.
+    The new table is written beside the old one and counted there, so an empty result, or a job
+    that fails, leaves the old table as it is. Rewriting gives the same table, so a failed run is
+    simply run again.
     """
     spark = df.sparkSession
     ready = storage_cast(conform(df, table), table) if table else df
-    ready.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path).count()
+    aside, old = f"{path}__new", f"{path}__old"
+    ready.write.mode("overwrite").parquet(aside)
+    stored = spark.read.parquet(aside).count()
     if stored == 0 and not allow_empty:
+        _remove(spark, aside)
         raise EmptyResult(f"no rows for {path}")
+    _remove(spark, old)
+    _move(spark, path, old)
+    _move(spark, aside, path)
+    _remove(spark, old)
     return stored
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system, as Hadoop objects."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where, files = _hadoop(spark, path)
+    files.delete(where, True)
+
+
+def _move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder, if it is there."""
+    where, files = _hadoop(spark, path)
+    if files.exists(where) and not files.rename(where, _hadoop(spark, to)[0]):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -101,10 +125,34 @@ def declare_table(spark: SparkSession, database: str, table: Table, recreate: bo
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
 
 
+def publications(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Number and path of every complete publication, oldest first. A pointer whose write broke off
+    has no success mark and counts for nothing."""
+    where, files = _hadoop(spark, f"{root}/_published")
+    if not files.exists(where):
+        return []
+    found = [s.getPath() for s in files.listStatus(where)]
+    done = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted((int(p.getName()), p.toString()) for p in done)
+
+
 def publish(spark: SparkSession, root: str, run: str) -> None:
-    """Make a finished run the one that readers see: a one-row pointer, replaced in one write."""
-    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").parquet(f"{root}/_published")
+    """Make a finished run the one that readers see. Every publication is a new numbered pointer, so
+    there is no moment without one."""
+    number = max([n for n, _ in publications(spark, root)], default=0) + 1
+    pointer = spark.createDataFrame([(run,)], "run string").coalesce(1)
+    pointer.write.mode("overwrite").parquet(f"{root}/_published/{number:08d}")
 
 
 def published(spark: SparkSession, root: str) -> str:
-    return spark.read.parquet(f"{root}/_published").first()["run"]
+    """The run of the latest complete publication."""
+    found = publications(spark, root)
+    if not found:
+        raise LookupError(f"nothing is published in {root}")
+    return spark.read.parquet(found[-1][1]).first()["run"]
+
+
+def published_runs(spark: SparkSession, root: str) -> set[str]:
+    """Every run that readers see or saw."""
+    found = publications(spark, root)
+    return {r["run"] for r in spark.read.parquet(*[p for _, p in found]).collect()} if found else set()

@@ -1,3 +1,4 @@
+import ast
 import datetime as dt
 from decimal import Decimal
 
@@ -129,3 +130,33 @@ def test_literal_faults(spark):
 def test_coded_pairs(spark):
     got = apply(spark, collections.coded_pairs, ["FR:France|:x|DE|GB:a:b", "", None, " US :x| :y"])
     assert got == [["FR", "GB"], [], [], ["US"]]
+
+
+FORMS = [
+    "[{u'iso': u'US'}]", "[{'iso': r'U\\S'}]", "[{'iso': b'US'}]", "[{'iso': '''US'''}]", "[{'iso': 'U' 'S'}]", "[{'iso': 'US', 't': (1, 2)}]",
+    "[{'iso': 'US', 's': {1, 2}}]", "[{'iso': 'US', 'l': [None, True]}]", "[{'iso': 'US', 'n': +5}]", "[{'iso': 'US', 'n': .5}]",
+    "[{'iso': 'US', 'n': 5.}]", "[{'iso': 'US', 'n': 0x10}]", "[{'iso': 'US', 'n': 1_000}]", "[{1: 'a', 'iso': 'US'}]", "[{'iso': 'US'}] # note",
+    "[{'iso': '\\x55S'}]", "[{'iso': 'US', 'n': NaN}]", "[['US']]", "[('iso', 'US')]", "[[]]", "([{'iso': 'US'}])", "[{'iso': 'US'},\n {'iso': 'FR'}]",
+    "\n[{'iso': 'US'}]", "[{'iso': 'US', 'iso': 'FR'}]", "[{\"iso\": \"US\"}]", "[{'a': \"'iso': 'XX'\", 'iso': 'US'}]", "[{'a': ', ', 'iso': 'US'}]",
+    "[{'iso' : 'US' ,}]", "[{'iso': 'US', 'n': 007}]", "[{'iso': 'US', 'n': -3}]", "[{'iso': 'US', 'n': 1e5}]", "[{'iso': ''}]", "[{}]", "[{'iso': 'US'} {'iso': 'FR'}]",
+    "[{'iso': 'US', **{}}]", "[dict(iso='US')]", "[{'iso': 'U{S}'}]", "[{'iso': 'US', 'x': 'a\nb'}]", "[{'iso': 'US'}, None]", "[ ]", "[,]", "[{'iso': 'é', 'n': None}]",
+    "[{'iso': 'US', 'm': {'iso': 'FR'}}]", "[{'iso': f'US'}]", "\t[{'iso': 'US'}]\n", "[{'iso': 'US', 'k': 1j}]",
+]
+
+
+def test_literal_forms(spark):
+    """Every form of a list gives what Python's parser gives, or is reported."""
+    def read(raw):
+        try:
+            value = ast.literal_eval(raw)
+        except Exception:
+            return [], False, raw.lstrip().startswith("[")
+        if not isinstance(value, list):
+            return [], False, False
+        found = [e.get("iso") for e in value if isinstance(e, dict)]
+        return ([c if isinstance(c, str) else None for c in found],
+                any(not isinstance(e, dict) or "iso" in e and not isinstance(e["iso"], str) for e in value), False)
+    assert len(FORMS) >= 40
+    expected = [read(raw) for raw in FORMS]
+    for build, at in ((collections.literal_codes, 0), (collections.literal_fault, 1), (collections.literal_broken, 2)):
+        assert apply(spark, lambda c, f=build: f(c, "iso"), FORMS) == [e[at] for e in expected], build.__name__

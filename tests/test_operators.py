@@ -196,3 +196,17 @@ def test_windows_overlap(spark):
     assert rows(profile.in_windows(df, "d", windows), "d", "window") == [
         (dt.date(1995, 1, 1), "a"), (dt.date(2005, 1, 1), "a"), (dt.date(2005, 1, 1), "b"),
     ]
+
+
+def test_groups_without_a_key(spark):
+    """NULL is a group of its own, also beside other keys, and so is the whole frame without keys."""
+    rows = [(None, "a", 1.0, 1), (None, "a", 3.0, 2), (1, "a", 2.0, 3), (1, None, None, 4), (None, None, 5.0, 5)]
+    df = spark.createDataFrame(rows, "k int, g string, v double, id int")
+    ranked = ordering.rank_descending(df, ["k", "g"], "id", [ordering.Ranking("v", "place", "higher", "lower")])
+    assert sorted((r.id, r.place, r.higher, r.lower) for r in ranked.collect()) == [
+        (1, 2, 3.0, None), (2, 1, None, 1.0), (3, 1, None, None), (4, 1, None, None), (5, 1, None, None)]
+    everything = ordering.rank_descending(df, [], "id", [ordering.Ranking("v", "place")]).collect()
+    assert {r.id: r.place for r in everything} == {5: 1, 2: 2, 3: 3, 1: 4, 4: 5}
+    middle = ordering.exact_percentiles(df, ["k"], "v", {"p50": 0.5}).collect()
+    assert {r.k: r.p50 for r in middle} == {None: 3.0, 1: 2.0}
+    assert {r.k for r in profile.numeric_summary(df, ["v"], ["k"]).collect()} == {None, 1}

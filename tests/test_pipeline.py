@@ -187,6 +187,18 @@ def test_second_run_is_equal(spark, done):
     assert published(spark, str(root / "out")) == "r2"
 
 
+def test_readers_keep_a_published_run(spark, done):
+    root, _, _ = done
+    latest = published(spark, str(root / "out"))
+    before = star(spark, str(root / "out"))["fact_movies"].count()
+    with pytest.raises(ValueError):
+        run(spark, _inputs(spark, root / "raw"), str(root / "out"), latest)
+    with pytest.raises(checks.GateFailure):
+        run(spark, _inputs(spark, root / "bad", main=[("862.5", "t", "1/5/1999", "1", "1")]), str(root / "out"), "bad")
+    assert published(spark, str(root / "out")) == latest
+    assert star(spark, str(root / "out"))["fact_movies"].count() == before
+
+
 @pytest.mark.parametrize("changes, failing", [
     ({"main": [("862.5", "t", "1/5/1999", "1", "1")]}, "movies_main.fractional_id"),
     ({"main": [(None, "t", "1/5/1999", "1", "1")]}, "movies_main.id_not_null"),

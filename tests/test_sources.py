@@ -79,6 +79,16 @@ def test_empty_result_is_refused(spark, tmp_path):
     assert tables.write_table(movies(spark).where("movie_id = 2"), str(tmp_path / "t"), CLEAN["movies"], True) == 0
 
 
+def test_empty_or_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(movies(spark), path, CLEAN["movies"])
+    with pytest.raises(tables.EmptyResult):
+        tables.write_table(movies(spark).where("movie_id = 2"), path, CLEAN["movies"])
+    with pytest.raises(Exception):
+        tables.write_table(movies(spark, movie_id=None), path, CLEAN["movies"])
+    assert tables.read_table(spark, path).count() == 1
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("change", [{"movie_title": "x" * 501}, {"budget": 12345678901234.0}, {"movie_id": None}])
 def test_values_that_do_not_fit_fail(spark, change, ansi):
@@ -126,3 +136,12 @@ def test_published_pointer(spark, tmp_path):
     tables.publish(spark, str(tmp_path), "first")
     tables.publish(spark, str(tmp_path), "second")
     assert tables.published(spark, str(tmp_path)) == "second"
+    # A publication that broke off is no publication.
+    (tmp_path / "_published" / "00000003").mkdir()
+    assert tables.published(spark, str(tmp_path)) == "second"
+    assert tables.published_runs(spark, str(tmp_path)) == {"first", "second"}
+
+
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(LookupError):
+        tables.published(spark, str(tmp_path))

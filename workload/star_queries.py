@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.functions.numbers import classify
+from marquee.operators.ordering import Ranking, exact_percentiles, rank_descending
 from marquee.plans import gold
 from workload import standin
-from workload.registry import query, sql_pct, using
+from workload.registry import query, sql_pct, table, using
 
 _MOVIE = """movie_id, movie_title, CAST(release_date AS VARCHAR) AS release_date, release_year,
             CAST(budget AS DOUBLE) AS budget, CAST(revenue AS DOUBLE) AS revenue"""
@@ -173,3 +174,31 @@ def nation_summary(spark, sf_dir):
     pairs = gold.distinct_in_scope(standin.countries(spark, sf_dir), standin.scope(spark, sf_dir), gold.COUNTRY)
     mart = gold.mart_country_summary(pairs)
     return gold.for_display(mart, "movie_count", "iso_country_code")
+
+
+# Orders of the lowest priority have no key.
+_GROUP = "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END"
+
+
+def _nullable_group(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("double").alias("price"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"))
+
+
+@query(f"""
+    SELECT o_orderkey, {_GROUP} AS priority, CAST(o_totalprice AS DOUBLE) AS price,
+           rank() OVER (PARTITION BY {_GROUP} ORDER BY o_totalprice DESC) AS place,
+           CAST(lag(o_totalprice) OVER (PARTITION BY {_GROUP} ORDER BY o_totalprice DESC, o_orderkey) AS DOUBLE) AS higher
+    FROM orders""")
+def ranks_with_null_group(spark, sf_dir):
+    return rank_descending(_nullable_group(spark, sf_dir), ["priority"], "o_orderkey", [Ranking("price", "place", "higher")])
+
+
+@query(f"""
+    SELECT {_GROUP} AS priority, round(quantile_cont(CAST(o_totalprice AS DOUBLE), 0.5), 6) AS p50,
+           round(quantile_cont(CAST(o_totalprice AS DOUBLE), 0.9), 6) AS p90
+    FROM orders GROUP BY 1""")
+def percentiles_with_null_group(spark, sf_dir):
+    found = exact_percentiles(_nullable_group(spark, sf_dir), ["priority"], "price", {"p50": 0.5, "p90": 0.9})
+    return found.select("priority", F.round("p50", 6).alias("p50"), F.round("p90", 6).alias("p90"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from marquee.contracts import CLEAN, RAW
 from marquee.session import shared_folder
 from marquee.sources.csv import read_raw
-from marquee.sources.tables import conform, read_table, storage_cast, table_columns, write_table
+from marquee.sources.tables import (
+    EmptyResult, conform, publish, published, read_table, storage_cast, table_columns, write_table,
+)
 from marquee.plans.silver import keyed
 from workload import rawtext, standin
 from workload.registry import query, table, using
@@ -74,3 +77,24 @@ def keyed_rows(spark, sf_dir):
 def declared_table_rename(spark, sf_dir):
     older = standin.movies(spark, sf_dir).withColumnRenamed("movie_title", "title")
     return conform(older, CLEAN["movies"]).select("movie_id", "movie_title")
+
+
+@query(using("movies", body="SELECT movie_id, movie_title FROM movies"))
+def empty_write_refused(spark, sf_dir):
+    folder = _fresh(spark)
+    movies = standin.movies(spark, sf_dir)
+    write_table(movies, folder, CLEAN["movies"])
+    with contextlib.suppress(EmptyResult):
+        write_table(movies.where("movie_id IS NULL"), folder, CLEAN["movies"])
+        raise AssertionError("an empty result was stored")
+    return read_table(spark, folder).select("movie_id", "movie_title")
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey > 0")
+def latest_publication(spark, sf_dir):
+    root = _fresh(spark)
+    for run, least in (("first", 0), ("second", 1)):
+        nations = table(spark, sf_dir, "nation").where(F.col("n_regionkey") >= least)
+        write_table(nations.select("n_nationkey", "n_name"), f"{root}/{run}/nations")
+        publish(spark, root, run)
+    return read_table(spark, f"{root}/{published(spark, root)}/nations")
