@@ -1,7 +1,8 @@
 """Benchmark decontamination: BM25 over an inverted index of the test items, with block-max WAND.
 
 The index is over the items, cut into segments of bounded length; the queries are all passages of all
-training documents, overlapping windows of words. A score is the BM25 score divided by the score that
+training documents, overlapping windows of words. Terms are pairs of neighbouring words: single words
+tell a passage from another one too badly for any bound to skip much. A score is the BM25 score divided by the score that
 the segment has with itself, so one threshold fits all. WAND keeps the postings of a passage's terms in
 item order and jumps to the first item whose upper bounds can reach the threshold; bounds per block
 of items let it skip whole blocks. The very first of these tests, whether the bounds of all terms of a
@@ -13,7 +14,8 @@ The index is sent to the tasks. Items beyond its bound in bytes are dealt to sev
 all documents pass one after the other.
 
 Defined cases: null or empty texts and items match nothing; the answer of an item is what follows an
-answer mark or a question mark, else its last sentence, else the last third of its words; repeated
+answer mark or a question mark, else its last sentence, else the last third of its words; an item of
+one word is not searched; repeated
 rows give repeated results, and an item that is listed twice is one; an item without an id is found
 under a null id; an empty table gives an empty result. Other columns, also ones named like a result,
 are not read.
@@ -79,14 +81,19 @@ class Index:
             words = question + answer
             for i in range(0, len(words), SEGMENT):
                 # A short rest would be found by few words; the last segment reaches back instead.
-                begin = max(0, min(i, len(words) - SEGMENT))
-                segments.append(Counter(words[begin:begin + SEGMENT]))
-                self.owner.append(number)
+                own = words[max(0, min(i, len(words) - SEGMENT)):][:SEGMENT]
+                if len(own) > 1:
+                    segments.append(Counter(zip(own, own[1:])))
+                    self.owner.append(number)
         count = len(segments)
         held = Counter(t for s in segments for t in s)
         idf = {t: math.log(1 + (count - n + 0.5) / (n + 0.5)) for t, n in held.items()}
         mean = sum(sum(s.values()) for s in segments) / max(1, count)
-        self.ids = {t: i for i, t in enumerate(held)}
+        self.words = {w: i for i, w in enumerate(dict.fromkeys(w for t in held for w in t))}
+        # Terms are numbered in the order of their keys, so a key is found by bisection.
+        keyed = sorted((self._key(*map(self.words.get, t)), t) for t in held)
+        self.keys = np.array([k for k, _ in keyed], np.int64)
+        self.ids = {t: i for i, (_, t) in enumerate(keyed)}
         postings = [[] for _ in held]
         for number, s in enumerate(segments):
             norm = K1 * (1 - B + B * sum(s.values()) / mean)
@@ -97,16 +104,33 @@ class Index:
         self.segments = [[n for n, _ in p] for p in postings]
         self.impacts = [[x for _, x in p] for p in postings]
         self.blocks = -(-count // BLOCK)
-        self.block_bounds = np.zeros((len(held), self.blocks), np.float32)
-        for t, p in enumerate(postings):
+        self.block_bounds = [{} for _ in held]
+        for bounds, p in zip(self.block_bounds, postings):
             for n, x in p:
-                self.block_bounds[t, n // BLOCK] = max(self.block_bounds[t, n // BLOCK], x)
-        # One bound more than the last term: that of words outside the index.
-        self.bounds = np.append(self.block_bounds.max(axis=1) if len(held) and count else np.zeros(len(held)), 0.0)
+                bounds[n // BLOCK] = max(bounds.get(n // BLOCK, 0.0), x)
+        self.bounds = np.array([max(b.values()) for b in self.block_bounds])
         self.parts = [(shingles(q), shingles(a)) for _, q, a in self.items]
 
-    def lookup(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.ids.get, words, repeat(len(self.ids))), np.int64, len(words))
+    def _key(self, first, second):
+        return first * (len(self.words) + 1) + second
+
+    def find(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, place, term) of every indexed term of the documents."""
+        none = len(self.words)
+        ids = np.concatenate([np.fromiter(map(self.words.get, d, repeat(none)), np.int64, len(d)) for d in docs] or [np.empty(0, np.int64)])
+        lengths = np.array([len(d) for d in docs], np.int64)
+        if len(ids) < 2 or not len(self.keys):
+            return tuple(np.empty(0, np.int64) for _ in range(3))
+        inside = (ids[:-1] < none) & (ids[1:] < none)
+        ends = np.cumsum(lengths)
+        inside[ends[(ends > 0) & (ends < len(ids))] - 1] = False
+        places = np.flatnonzero(inside)
+        keys = self._key(ids[places], ids[places + 1])
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        held = self.keys[at] == keys
+        places, terms = places[held], at[held]
+        doc = np.searchsorted(ends, places, side="right")
+        return doc, places - (ends - lengths)[doc], terms
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """(segment, score) of every segment that scores at least the threshold, by block-max WAND."""
@@ -128,7 +152,7 @@ class Index:
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == target:
                 pivot += 1
             block = target // BLOCK
-            in_block = float(sum(self.block_bounds[c[2], block] for c in cursors[:pivot + 1]))
+            in_block = sum(self.block_bounds[c[2]].get(block, 0.0) for c in cursors[:pivot + 1])
             if in_block < slack:
                 # No segment before the end of the block, or before the next cursor, can reach it.
                 target = (block + 1) * BLOCK
@@ -152,24 +176,28 @@ class Index:
         return out
 
     def passages(self, docs: list[list[str]]):
-        """(number of the document, terms) of the passages that some segment may match."""
-        lengths = [len(d) for d in docs]
-        chunks = [-(-n // STRIDE) for n in lengths]
-        for number, words in enumerate(docs):
-            if not words:
-                continue
-            ids = self.lookup(words)
-            sums = np.add.reduceat(self.bounds[ids], np.arange(0, len(ids), STRIDE))
-            pairs = sums.copy()
-            pairs[:-1] += sums[1:]
-            for k in np.flatnonzero(pairs >= THRESHOLD - 1e-6):
-                if k and k == chunks[number] - 1:
-                    continue  # the last passage lies in the one before
-                own = np.unique(ids[k * STRIDE:(k + 2) * STRIDE])
-                if own[-1] == len(self.ids):
-                    own = own[:-1]
-                if len(own) and self.block_bounds[own].sum(axis=0).max() >= THRESHOLD - 1e-5:
-                    yield number, own.tolist()
+        """(document, terms) of the passages whose bounds together can reach the threshold."""
+        doc, place, term = self.find(docs)
+        if not len(doc):
+            return
+        chunks = np.array([-(-len(d) // STRIDE) for d in docs], np.int64)
+        base = np.cumsum(chunks) - chunks
+        chunk = base[doc] + place // STRIDE
+        # A term counts once in a chunk; in both chunks of a passage it counts twice, which only loosens the bound.
+        both = np.unique(chunk * len(self.keys) + term)
+        chunk, term = both // len(self.keys), both % len(self.keys)
+        sums = np.bincount(chunk, self.bounds[term], int(chunks.sum()) + 1)
+        first = np.searchsorted(chunk, np.arange(len(sums) + 1))
+        last = np.zeros(len(sums), bool)
+        last[(base + chunks - 1)[chunks > 0]] = True
+        # The last chunk of a document has no right neighbour, and lies in the passage before, if there is one.
+        pairs = sums.copy()
+        pairs[:-1] += np.where(last[:-1], 0.0, sums[1:])
+        starts = np.zeros(len(sums), bool)
+        starts[base[chunks > 0]] = True
+        for k in np.flatnonzero((pairs >= THRESHOLD - 1e-6) & (starts | ~last)):
+            until = first[k + 1] if last[k] else first[k + 2]
+            yield int(np.searchsorted(base, k, side="right")) - 1, np.unique(term[first[k]:until]).tolist()
 
     def retrieve(self, docs: list[list[str]]) -> dict[tuple[int, int], float]:
         """The best score of every retrieved (document, item)."""

@@ -31,7 +31,7 @@ def corpus(seed=1):
 def scores(index, words):
     """BM25 of a passage against every segment, term by term."""
     out = [0.0] * len(index.owner)
-    for t in {index.ids[w] for w in words if w in index.ids}:
+    for t in {index.ids[w] for w in zip(words, words[1:]) if w in index.ids}:
         for s, x in zip(index.segments[t], index.impacts[t]):
             out[s] += x
     return out
@@ -44,11 +44,12 @@ def test_wand_retrieves_all_above_the_threshold():
         words = d.terms_of(text)
         expected = {}
         for i in range(0, max(1, len(words)), d.STRIDE):
-            window = words[i:i + 2 * d.STRIDE]
+            # The pair that begins at the last word of a passage belongs to it.
+            window = words[i:i + 2 * d.STRIDE + 1]
             for s, x in enumerate(scores(index, window)):
                 if x >= d.THRESHOLD:
                     expected[index.owner[s]] = max(x, expected.get(index.owner[s], 0))
-            terms = sorted({index.ids[w] for w in window if w in index.ids})
+            terms = sorted({index.ids[w] for w in zip(window, window[1:]) if w in index.ids})
             assert {s for s, _ in index.search(terms, 0.1)} == {s for s, x in enumerate(scores(index, window)) if x >= 0.1}
         got = {item: x for (_, item), x in index.retrieve([words]).items()}
         assert got.keys() == expected.keys()
