@@ -160,10 +160,7 @@ def country_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Standard names: English and French, taken from the languages of the documents."""
+    """Standard names of the languages of the documents."""
     code = F.col("lang")
-    return (
-        table(spark, sf_dir, "documents").where(code.isin("en", "fr")).select(
-            code.alias("iso_language_code"), F.when(code == "en", "English").otherwise("French").alias("language_name")
-        ).distinct()
-    )
+    name = F.when(code == "en", "English").when(code == "fr", "French").otherwise(F.concat(F.lit("Language "), code))
+    return table(spark, sf_dir, "documents").select(code.alias("iso_language_code"), name.alias("language_name")).distinct()
