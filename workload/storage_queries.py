@@ -13,6 +13,7 @@ from marquee.sources.csv import read_raw
 from marquee.sources.tables import (
     EmptyResult, conform, publish, published, read_table, storage_cast, table_columns, write_table,
 )
+from marquee.plans.run import Inputs, run, star
 from marquee.plans.silver import keyed
 from workload import rawtext, standin
 from workload.registry import query, table, using
@@ -98,3 +99,36 @@ def latest_publication(spark, sf_dir):
         write_table(nations.select("n_nationkey", "n_name"), f"{root}/{run}/nations")
         publish(spark, root, run)
     return read_table(spark, f"{root}/{published(spark, root)}/nations")
+
+
+@query("""
+    SELECT o_orderkey AS movie_id, CAST(1980 + o_orderkey % 37 AS BIGINT) AS release_year,
+           CAST(CASE WHEN o_orderkey % 10 = 9 THEN 1 ELSE 2 END AS BIGINT) AS genre_count, CAST(2 AS BIGINT) AS company_count,
+           CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS country_count,
+           CAST(CASE WHEN o_orderkey % 10 = 8 THEN 0 ELSE 1 END AS BIGINT) AS language_count
+    FROM orders""")
+def pipeline_star(spark, sf_dir):
+    """Raw files through every layer and gate to the published fact table."""
+    root, key = _fresh(spark), F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    main = orders.select(
+        key.alias("id"), F.concat(F.lit("Order#"), key).alias("title"),
+        F.make_date(1980 + key % 37, 1 + key % 12, 1 + key % 28).alias("release_date"),
+        F.col("o_totalprice").cast("decimal(15,2)").alias("budget"),
+        F.when(key % 4 != 0, F.col("o_totalprice").cast("decimal(15,2)")).alias("revenue"))
+    country = "{'iso_3166_1': '%s', 'name': 'x'}"
+    extended = orders.select(
+        key.alias("id"), F.when(key % 10 != 9, F.concat(F.lit("Drama, Type"), key % 6)).alias("genres"),
+        F.concat(F.lit("Maker"), key % 7, F.lit(", Studio"), key % 5).alias("production_companies"),
+        F.when(key % 3 == 0, f"[{country % 'US'}, {country % 'FR'}]").otherwise(f"[{country % 'BR'}]").alias("production_countries"),
+        F.when(key % 10 == 8, "[]").otherwise("[{'iso_639_1': 'en', 'name': 'English'}]").alias("spoken_languages"))
+    options = {"header": True, "quote": '"', "escape": '"'}
+    main.write.csv(f"{root}/raw/main", **options)
+    extended.write.csv(f"{root}/raw/extended", **options)
+    answers = orders.select(key.cast("string").alias("id"), F.when(
+        key % 10 == 9, '{"budget": 0, "revenue": 7, "genres": [{"name": "War"}]}').otherwise('{"revenue": 7}').alias("payload"))
+    run(spark, Inputs(
+        f"{root}/raw/main", f"{root}/raw/extended", answers, rawtext.country_names(spark, sf_dir),
+        rawtext.language_names(spark, sf_dir), multi_line=False), f"{root}/out", "whole")
+    return star(spark, f"{root}/out")["fact_movies"].select(
+        "movie_id", "release_year", "genre_count", "company_count", "country_count", "language_count")
