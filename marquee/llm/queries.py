@@ -24,6 +24,51 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents"), extra=("doc_id",)).drop("cleaned")
 
 
+_SPACE = r"[ \x09-\x0D]+"
+
+
+def _sql_count(text: str, pattern: str) -> str:
+    return f"(length({text}) - length(regexp_replace({text}, '{pattern}', '', 'g')))"
+
+
+_SENTENCE_END = quality_rules.END_OF_SENTENCE.replace("'", "''")
+_LINE_FAILS = f"""
+    {_sql_count("line", quality_rules.SYMBOLS)} * 10 > length(line)
+    OR ({_sql_count("line", "!")} * 20 > length(line) AND length(line) >= 40)
+    OR ({_sql_count("line", quality_rules.SEPARATORS)} >= 3
+        AND {_sql_count("line", quality_rules.SEPARATORS)} * 4 >= len(regexp_split_to_array(line, '{_SPACE}')))
+    OR (length(line) <= {quality_rules.BOILERPLATE_CHARS} AND regexp_matches(line, '{quality_rules.BOILERPLATE}'))
+    OR (len(regexp_split_to_array(line, '{_SPACE}')) <= {quality_rules.FRAGMENT_WORDS} AND NOT regexp_matches(line, '{_SENTENCE_END}'))
+"""
+ORACLES["op8_quality_rules"] = f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+') AS w FROM documents),
+    x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+    g AS (
+        SELECT doc_id, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS gram
+        FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    again AS (
+        SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g WHERE gram IS NOT NULL)
+        WHERE n > 1),
+    covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id),
+    l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+    lines AS (
+        SELECT doc_id, count(*) - count(DISTINCT line) AS dup, sum(length(line)) AS chars,
+               sum(CASE WHEN {_LINE_FAILS} THEN length(line) ELSE 0 END) AS lost
+        FROM l WHERE regexp_matches(line, '[^ \\x09-\\x0D]') GROUP BY doc_id),
+    r AS (
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST({_sql_count("t", quality_rules.SYMBOLS)} AS BIGINT) AS n_symbols, CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
+               CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars, coalesce(chars, 0) AS chars
+        FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_chars,
+           n_words < {quality_rules.MIN_WORDS} OR n_repeat_words * 100 > n_words * {quality_rules.MAX_REPEAT_PERCENT} AS base_failed,
+           NOT (n_words < {quality_rules.MIN_WORDS} OR n_repeat_words * 100 > n_words * {quality_rules.MAX_REPEAT_PERCENT})
+               AND lost_chars * 100 <= chars * {quality_rules.MAX_LOST_PERCENT} AS kept
+    FROM r
+"""
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
