@@ -13,6 +13,7 @@ from marquee.operators.joins import within_scope
 from marquee.operators.profile import top_n
 from marquee.operators.shares import share_of_having
 from marquee.plans.gold import distinct_in_scope
+from marquee.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,9 @@ def kpis(star: Mapping[str, DataFrame], filters: Filters = Filters(), language:
     Percentages refer to the filtered films that have any language, or any genre, at all.
     """
     movies = filtered_movies(star, filters)
+    if filters != Filters():
+        # Stored once: three figures need the films, and would repeat the joins of the filters.
+        movies = checkpointed(movies.select("movie_id"))
     genres = distinct_in_scope(star["bridge_movie_genres"], movies, ["genre"])
 
     # One row per movie before the join, which also makes this a count without a distinct.
