@@ -1,6 +1,7 @@
 """Exact order statistics and ranks that never put a whole group into one task.
 
-Every operator here works in the same way. A first pass sketches each group's value
+Percentiles take two bounds around each wanted position from a sketch and order only the rows between
+them. Ranks need all rows: a first pass sketches each group's value
 distribution and derives bucket bounds from it. Rows then get a bucket number that depends on
 their value only. Counts per bucket, a table of at most groups x buckets rows, tell how many
 values lie before each bucket, so exact positions need ordering inside single buckets only.
@@ -29,6 +30,8 @@ from marquee.session import checkpointed
 _STEPS = tuple(1 << i for i in reversed(range(10)))
 BUCKETS = 2 * _STEPS[0]
 _FRACTIONS = [i / BUCKETS for i in range(1, BUCKETS)]
+# Parts of the rows by which a sketch may be off.
+ACCURACY = 10_000
 
 # With this many groups the bounds take 2 MB and the counts per bucket 200,000 rows at most.
 BROADCAST_GROUPS = 200
@@ -62,7 +65,7 @@ def _unpacked(keys: Sequence[str]) -> list[Column]:
 
 
 def _bounds(value: str) -> Column:
-    return F.percentile_approx(value, _doubles(_FRACTIONS), F.lit(10_000))
+    return F.percentile_approx(value, _doubles(_FRACTIONS), F.lit(ACCURACY))
 
 
 def _bucket(bounds: Column, value: str) -> Column:
@@ -75,74 +78,69 @@ def _bucket(bounds: Column, value: str) -> Column:
     return F.coalesce(below, F.lit(0))
 
 
+def _brackets(fractions: Sequence[float]) -> list[float]:
+    """Fractions safely below and above each wanted one. The sketch is off by one part in ACCURACY of
+    the rows at most, so its values at these fractions enclose the wanted positions."""
+    margin = 2 / ACCURACY
+    return [min(1.0, max(0.0, f + side)) for f in fractions for side in (-margin, margin)]
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     fractions: Mapping[str, float],
-    weight: str | None = None,
     derived: bool = False,
 ) -> DataFrame:
     """Interpolated percentiles per group, one column per entry of `fractions`, NULLs ignored.
 
-    Groups without any value do not appear. Only rows of the buckets that hold a wanted
-    position are shuffled, the rest is counted in place. `weight` names the number of times a
-    row counts. The input is read three times; say `derived` if it comes out of joins or
-    aggregations, and its keys and values are stored once instead.
+    Groups without any value do not appear. A sketch gives two bounds around each wanted position;
+    rows below the lower one are counted in place, and only rows between the bounds, a few in ten
+    thousand besides repeated values, are shuffled and put in order. The input is read three times;
+    say `derived` if it comes out of joins or aggregations, and its keys and values are stored once
+    instead.
     """
-    names, keys = list(keys), ["_key"] if keys else []
-    times = F.col(weight) if weight else F.lit(1)
-    numeric = df.select(*[_packed(names) for _ in keys], F.col(value).cast("double").alias("_value"), times.cast("bigint").alias("_times"))
+    names, keys = list(keys), ["_key"]
+    numeric = df.select(_packed(names), F.col(value).cast("double").alias("_value"))
     if derived:
         numeric = checkpointed(numeric)
     known = numeric.where(F.col("_value").isNotNull())
-    sketch = known.groupBy(*keys).agg(_bounds("_value").alias("_bounds"))
-    if keys:
-        bounds = F.col("_bounds")
-        settled, few_groups = _settled(sketch)
-        known = known.join(settled, keys)
-    else:
-        few_groups = True
-        found = sketch.first()["_bounds"]
-        bounds = _doubles(found) if found else F.array().cast("array<double>")
-    tagged = known.select(*keys, "_value", "_times", _bucket(bounds, "_value").alias("_bucket"))
-
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    counts = tagged.groupBy(*keys, "_bucket").agg(F.sum("_times").alias("_n"))
-    spans = counts.select(
-        *keys,
-        "_bucket",
-        (F.sum("_n").over(by_bucket) - F.col("_n")).alias("_start"),
-        F.sum("_n").over(by_bucket).alias("_end"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
-    )
-    wanted = [
-        position(F.lit(fraction) * (F.col("_total") - 1)).cast("bigint")
-        for fraction in fractions.values()
-        for position in (F.floor, F.ceil)
-    ]
-    hit = F.exists(F.array(*wanted), lambda p: (p >= F.col("_start")) & (p < F.col("_end")))
-    # At most two buckets per group and fraction.
-    targets = _hinted(spans.where(hit).drop("_end"), few_groups)
-
-    by_value = Window.partitionBy(*keys, "_bucket").orderBy("_value")
+    settled, few_groups = _settled(known.groupBy("_key").agg(
+        F.percentile_approx("_value", _doubles(_brackets(list(fractions.values()))), F.lit(ACCURACY)).alias("_bounds")))
+    tagged = known.join(settled, "_key")
+    v, sides = F.col("_value"), [(F.get("_bounds", F.lit(2 * i)), F.get("_bounds", F.lit(2 * i + 1))) for i in range(len(fractions))]
+
+    # In a small group a wanted position may be the next one outside the bounds.
+    places = tagged.groupBy("_key").agg(F.count(F.lit(1)).alias("_total"), *[
+        fact.alias(f"_{name}_{i}")
+        for i, (low, high) in enumerate(sides)
+        for name, fact in (
+            ("below", F.count_if(v < low)), ("upto", F.count_if(v <= high)),
+            ("before", F.max(F.when(v < low, v))), ("after", F.min(F.when(v > high, v))),
+        )
+    ])
+    held = F.array(*[F.when((v >= low) & (v <= high), F.lit(i)) for i, (low, high) in enumerate(sides)])
+    inside = tagged.select("_key", "_value", F.explode(F.array_compact(held)).alias("_i"))
+    by_value = Window.partitionBy("_key", "_i").orderBy("_value")
     ladder = (
-        tagged.join(targets, [*keys, "_bucket"])
-        .groupBy(*keys, "_bucket", "_start", "_total", "_value")
-        .agg(F.sum("_times").alias("_n"))
-        .withColumn("_until", F.col("_start") + F.sum("_n").over(by_value))
-        .withColumn("_from", F.col("_until") - F.col("_n"))
+        inside.groupBy("_key", "_i", "_value").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_until", F.sum("_n").over(by_value)).withColumn("_from", F.col("_until") - F.col("_n"))
+        .join(_hinted(places, few_groups), "_key")
     )
 
-    def at(position: Column) -> Column:
-        inside = (position.cast("bigint") >= F.col("_from")) & (position.cast("bigint") < F.col("_until"))
-        return F.max(F.when(inside, F.col("_value")))
+    def at(i: int, position: Column) -> Column:
+        """The value at a position of the whole group, among the rows between the i-th bounds or next to them."""
+        position = position.cast("bigint")
+        below, upto = F.col(f"_below_{i}"), F.col(f"_upto_{i}")
+        own = (F.col("_i") == i) & (position - below >= F.col("_from")) & (position - below < F.col("_until"))
+        return F.max(F.when(own, F.col("_value")).when(position == below - 1, F.col(f"_before_{i}")).when(
+            position == upto, F.col(f"_after_{i}")))
 
-    picked = ladder.groupBy(*keys).agg(
+    picked = ladder.groupBy("_key").agg(
         F.max("_total").alias("_total"),
         *[
-            at(side(F.lit(fraction) * (F.col("_total") - 1))).alias(f"_{name}_{end}")
-            for name, fraction in fractions.items()
+            at(i, side(F.lit(fraction) * (F.col("_total") - 1))).alias(f"_{name}_{end}")
+            for i, (name, fraction) in enumerate(fractions.items())
             for side, end in ((F.floor, "low"), (F.ceil, "high"))
         ],
     )
@@ -150,8 +148,13 @@ def exact_percentiles(
     for name, fraction in fractions.items():
         exact = F.lit(fraction) * (F.col("_total") - 1)
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        out.append((low + (high - low) * (exact - F.floor(exact))).alias(name))
-    return picked.select(*_unpacked(names), *out)
+        found = low + (high - low) * (exact - F.floor(exact))
+        # The sketch promises that both are there.
+        out.append(F.when(low.isNull() | high.isNull(), F.raise_error(F.lit("a percentile lies outside its bounds")))
+                   .otherwise(found).cast("double").alias(name))
+    picked = picked.select(*_unpacked(names), *out)
+    # Without keys there is always one row.
+    return picked if names else picked.agg(*[F.max(name).alias(name) for name in fractions])
 
 
 @dataclass(frozen=True)

@@ -148,7 +148,9 @@ def count_summary(per: DataFrame, column: str) -> DataFrame:
         F.sum(v * w).cast("double").alias("total"),
         F.sum((v * v).cast("decimal(38,0)") * w).cast("double").alias("squares"),
     )
-    percentiles = exact_percentiles(histogram, [], "v", SUMMARY_FRACTIONS, weight="w")
+    # Exact, over few distinct values with their frequencies.
+    percentiles = histogram.agg(*[
+        F.percentile(F.col("v").cast("double"), F.lit(f), F.col("w")).alias(name) for name, f in SUMMARY_FRACTIONS.items()])
     row = percentiles.select(F.struct(*SUMMARY_FRACTIONS).alias("p")).scalar()
     mean = F.col("total") / F.col("n")
     deviation = F.sqrt((F.col("squares") - F.col("total") * mean) / F.nullif(F.col("n") - 1, F.lit(0)))

@@ -88,11 +88,14 @@ def test_percentiles_small(spark):
     assert rows(ordering.exact_percentiles(nothing, [], "v", {"median": 0.5})) == [(None,)]
 
 
-def test_weighted_percentiles(spark):
-    df = spark.createDataFrame([(1, 5), (2, 1), (9, 4)], "v long, w long")
-    expanded = [1] * 5 + [2] + [9] * 4
-    got = rows(ordering.exact_percentiles(df, [], "v", {"median": 0.5}, weight="w"))
-    assert got == [(statistics.median(expanded),)]
+def test_percentiles_of_repeated_values(spark):
+    """One value holds a third of the rows and more, and stands at a wanted position."""
+    values = [float(i) for i in range(4000)] + [2500.0] * 3000
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+    fractions = {"p40": 0.4, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+    got = ordering.exact_percentiles(df, [], "v", fractions).first()
+    want = df.agg(*[F.percentile("v", f).alias(n) for n, f in fractions.items()]).first()
+    assert tuple(got) == pytest.approx(tuple(want))
 
 
 @pytest.mark.parametrize("partitions", [1, 5, 32])
