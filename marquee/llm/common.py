@@ -51,6 +51,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A task works on so many rows of an Arrow batch at once.
+SLICE = 256
+
+
+def sliced(batches):
+    """The rows of Arrow batches in small portions, so that Python holds few texts at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
 #: A stored table of at most so many bytes may be broadcast; in memory it can be a few times larger.
 BROADCAST_BYTES = 8 << 20
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import Scratch, bounded_side
+from marquee.llm.common import Scratch, bounded_side, sliced
 
 MIN_BYTES = 400
 CORE = 80
@@ -40,9 +40,9 @@ CORE = 80
 WAYS = 8
 #: So many different contexts of one core go into one transform.
 GROUP = 512
-#: So many bytes of text, or signs of a transform, are worked on at once; a longer text stands alone.
-CHUNK = 4 << 20
-SIGNS = 1 << 19
+#: So many bytes of text, or signs of a transform, are worked on at once; a longer text comes in pieces.
+CHUNK = 1 << 20
+SIGNS = 1 << 18
 
 _TABLE = np.random.default_rng(20).integers(0, 2 ** 64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -105,30 +105,47 @@ class Anchors:
         return text, at[first] - base, valid[first] - base, valid[last] - base
 
 
+def _pieces(texts: list[bytes]):
+    """Texts in portions of bounded size, each as a list of (number of the text, place, piece). Pieces of
+    a long text overlap by all but one byte of a window, so that each window lies in just one."""
+    portion, size = [], 0
+    for number, text in enumerate(texts):
+        if len(text) < MIN_BYTES:
+            continue
+        for at in range(0, len(text) - MIN_BYTES + 1, CHUNK):
+            piece = text[at:at + CHUNK + MIN_BYTES - 1]
+            if portion and size + len(piece) > CHUNK:
+                yield portion
+                portion, size = [], 0
+            portion.append((number, at, piece))
+            size += len(piece)
+    if portion:
+        yield portion
+
+
 def _anchor_rows(batches):
     anchors = Anchors()
-    for batch in batches:
-        ids, hashes = batch.column("doc_id"), batch.column("text_hash")
+    for batch in sliced(batches):
         texts = [(t or "").encode("utf-8") for t in batch.column("text").to_pylist()]
-        begin = 0
-        while begin < len(texts):
-            end, size = begin, 0
-            while end < len(texts) and (end == begin or size + len(texts[end]) <= CHUNK):
-                size += len(texts[end])
-                end += 1
-            part = texts[begin:end]
-            found: list[list] = [[] for _ in part]
-            for t, p, lo, hi in zip(*(a.tolist() for a in anchors.find(part))):
-                view = memoryview(part[t])
-                found[t].append({"pos": p, "lo": lo, "hi": hi,
-                                 "core": xxhash.xxh3_64_intdigest(view[p:p + CORE]) - 2 ** 63,
-                                 "hull": xxhash.xxh3_64_intdigest(view[lo:hi + MIN_BYTES], seed=p - lo + 1) - 2 ** 63})
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": ids.slice(begin, end - begin), "text_hash": hashes.slice(begin, end - begin),
-                "n_bytes": pa.array([len(t) for t in part], pa.int64()),
-                "sha256": pa.array([hashlib.sha256(t).hexdigest() for t in part], pa.string()),
-                "anchors": pa.array(found, ANCHORS)})
-            begin = end
+        places: list[list] = [[] for _ in texts]
+        for portion in _pieces(texts):
+            for t, p, lo, hi in zip(*(a.tolist() for a in anchors.find([x[2] for x in portion]))):
+                number, at, _ = portion[t]
+                own = places[number]
+                if own and own[-1][0] == p + at and own[-1][2] == lo + at - 1:
+                    own[-1][2] = hi + at  # goes on from the piece before
+                else:
+                    own.append([p + at, lo + at, hi + at])
+        found = []
+        for text, own in zip(texts, places):
+            view = memoryview(text)
+            found.append([{"pos": p, "lo": lo, "hi": hi, "core": xxhash.xxh3_64_intdigest(view[p:p + CORE]) - 2 ** 63,
+                           "hull": xxhash.xxh3_64_intdigest(view[lo:hi + MIN_BYTES], seed=p - lo + 1) - 2 ** 63} for p, lo, hi in own])
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
+            "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+            "sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+            "anchors": pa.array(found, ANCHORS)})
 
 
 ANCHORS = pa.list_(pa.struct([("pos", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("core", pa.int64()), ("hull", pa.int64())]))
@@ -140,7 +157,7 @@ CONTEXT = ("doc_id {}, text_hash long, judge boolean, key binary, pos int, near
 
 def _contexts(batches):
     """The texts around open anchors, split once."""
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for i, (text, found) in enumerate(zip(batch.column("text").to_pylist(), batch.column("open").to_pylist())):
             data = text.encode("utf-8")
@@ -183,7 +200,7 @@ def split(judge, key, pos, near, far, left, right, width):
 
 def _split_again(width: int):
     def again(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             columns = (batch.column(n).to_pylist() for n in ("judge", "key", "pos", "near", "far", "left", "right"))
             for i, context in enumerate(zip(*columns)):
@@ -414,7 +431,7 @@ def _runs():
 
 
 def _rest(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         digests = []
         for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
             data, at, digest = text.encode("utf-8"), 0, hashlib.sha256()

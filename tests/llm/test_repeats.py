@@ -47,8 +47,9 @@ def corpus(seed):
     return texts + texts[20:24]
 
 
-@pytest.mark.parametrize("seed,group,bound", [(1, 512, 8 << 20), (2, 2, 8 << 20), (3, 6, -1)])
-def test_equals_brute_force(spark, monkeypatch, seed, group, bound):
+@pytest.mark.parametrize("seed,group,bound,chunk", [(1, 512, 8 << 20, 1 << 20), (2, 2, 8 << 20, 500), (3, 6, -1, 900)])
+def test_equals_brute_force(spark, monkeypatch, seed, group, bound, chunk):
+    monkeypatch.setattr(r, "CHUNK", chunk)
     monkeypatch.setattr(r, "GROUP", group)
     monkeypatch.setattr("marquee.llm.common.BROADCAST_BYTES", bound)
     texts = corpus(seed)
