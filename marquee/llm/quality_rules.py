@@ -102,10 +102,10 @@ def assess(docs: DataFrame, text: str = "text", extra: tuple[str, ...] = ()) ->
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                            | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT))
     kept = ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("_chars") * MAX_LOST_PERCENT)
-    return rows.withColumn("kept", kept).select(
-        *extra, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "lost_chars", "cleaned",
-    )
+    found = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars", "cleaned")
+    # The row comes out of a generator: a later filter cannot be pushed below the steps above, where it
+    # would be computed anew for every element of the arrays that its lambda functions look into.
+    return rows.withColumn("kept", kept).select(F.inline(F.array(F.struct(*extra, *found))))
 
 
 def clean(docs: DataFrame) -> DataFrame:
