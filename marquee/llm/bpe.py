@@ -34,12 +34,12 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import Scratch, whole_text
+from marquee.llm.common import Scratch, sliced, whole_text
 
 #: So many of the most frequent words go into the lexicon.
 LEXICON_WORDS = 1 << 18
 #: So many words a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 LONG = 48
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same for texts of Latin letters and usual signs, which the standard library splits faster.
@@ -75,6 +75,7 @@ class Model:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.ranks = {(a, b): i for i, (a, b) in enumerate(pairs)}
         self.tokens = {i: t for t, i in (self.vocab | self.specials).items()}
+        self.texts = {i: str(i) for i in self.tokens}
         self.signs = byte_signs()
 
     def merged(self, word: str) -> list[int]:
@@ -85,20 +86,19 @@ class Model:
         return [self.vocab[p] for p in parts]
 
     def _short(self, parts: list[str]) -> list[str]:
-        rank = self.ranks.get
-        none = len(self.ranks)
+        rank, none = self.ranks.get, len(self.ranks)
         found = [rank(p, none) for p in zip(parts, parts[1:])]
         while found:
             best = min(found)
             if best == none:
                 break
             i = found.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            whole = parts[i] = parts[i] + parts.pop(i + 1)
             del found[i]
             if i:
-                found[i - 1] = rank((parts[i - 1], parts[i]), none)
+                found[i - 1] = rank((parts[i - 1], whole), none)
             if i < len(found):
-                found[i] = rank((parts[i], parts[i + 1]), none)
+                found[i] = rank((whole, parts[i + 1]), none)
         return parts
 
     def _long(self, parts: list[str]) -> list[str]:
@@ -256,7 +256,10 @@ class Codec(dict):
         ids = self.ids(word)
         if len(self) >= REMEMBERED:
             self.clear()
-        made = self[word] = (" ".join(map(str, ids)), self.decode(ids))
+        if len(ids) == 1:
+            made = self[word] = (self.model.texts[ids[0]], self.model.tokens[ids[0]])
+        else:
+            made = self[word] = (" ".join(map(self.model.texts.__getitem__, ids)), self.decode(ids))
         return made
 
     def encode(self, text: str) -> list[int]:
@@ -270,7 +273,7 @@ def _count_words(model: Model):
     def count(batches):
         split = Splitter(model.specials)
         total = Counter()
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column(0).to_pylist():
                 total.update(split.words(text))
             if len(total) >= REMEMBERED:
@@ -317,7 +320,7 @@ def publish_lexicon(docs: DataFrame, model: Model, size: int = LEXICON_WORDS) ->
 def _encoder(model: Model, lexicon: str, with_ids: bool):
     def encode(batches):
         codec = Codec(model, Lexicon(SparkFiles.get(lexicon)))
-        for batch in batches:
+        for batch in sliced(batches):
             counts, ids, digests, decoded = [], [], [], []
             for text in batch.column("_text").to_pylist():
                 pairs = list(map(codec.__getitem__, codec.split.parts(text)))

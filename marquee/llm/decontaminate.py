@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from marquee.llm.common import sliced
+
 K1, B = 1.2, 0.75
 STRIDE = 64
 #: A passage has two strides of words and overlaps its neighbours by one, so every segment of at most
@@ -251,7 +253,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         index = Index(sorted(items, key=str))
 
         def scan(batches, index=index):
-            for batch in batches:
+            for batch in sliced(batches):
                 hits = list(index.leaks(batch.column("text").to_pylist()))
                 columns = list(zip(*hits)) or [()] * 5
                 wanted = pa.array(columns[0], pa.int64())
@@ -274,7 +276,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         index = Index(sorted(items, key=str))
 
         def drop(batches, index=index):
-            for batch in batches:
+            for batch in sliced(batches):
                 clean = np.ones(batch.num_rows, bool)
                 clean[[hit[0] for hit in index.leaks(batch.column("text").to_pylist())]] = False
                 yield batch.filter(pa.array(clean))

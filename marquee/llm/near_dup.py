@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.llm.common import Scratch, bounded_side
+from marquee.llm.common import Scratch, bounded_side, sliced
 from marquee.llm.components import components
 
 SHINGLE = 5
@@ -40,8 +40,8 @@ BANDS, ROWS = 16, 4
 #: In a bucket of at most so many members all pairs of different components are compared.
 DIRECT = 24
 SLOTS = BANDS * ROWS
-REMEMBERED = 1_000_000
-CHUNK = 400_000
+REMEMBERED = 200_000
+CHUNK = 200_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -129,23 +129,21 @@ def bands(slots: np.ndarray) -> np.ndarray:
 
 def _sign(batches):
     hashes = WordHashes()
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for i in range(0, len(texts), 512):
-            sets = [shingles(t, hashes) for t in texts[i:i + 512]]
-            banded = bands(signatures(sets))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").slice(i, 512), "text_hash": batch.column("text_hash").slice(i, 512),
-                "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                "class": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, (len(sets) + 1) * BANDS, BANDS), pa.int32()), pa.array(banded.reshape(-1))),
-            })
+    for batch in sliced(batches):
+        sets = [shingles(t, hashes) for t in batch.column("text").to_pylist()]
+        banded = bands(signatures(sets))
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
+            "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            "class": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+            "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, (len(sets) + 1) * BANDS, BANDS), pa.int32()), pa.array(banded.reshape(-1))),
+        })
 
 
 def _confirm(batches):
     hashes = WordHashes()
     last, wide = None, None
-    for batch in batches:
+    for batch in sliced(batches):
         keep = []
         for b, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b"))):
             if b != last:
@@ -158,7 +156,7 @@ def _confirm(batches):
 
 def _sets(batches):
     hashes = WordHashes()
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [shingles(t, hashes).view(np.int64) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("class", "n", "root")} | {"elements": pa.array(sets, pa.list_(pa.int64()))})
 

@@ -21,7 +21,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.llm.common import Scratch, bounded_side, whole_text
+from marquee.llm.common import Scratch, bounded_side, sliced, whole_text
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
@@ -68,7 +68,7 @@ def spans_text(found) -> str:
 
 
 def _scan(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         rows = [candidates(t) for t in batch.column("_text").to_pylist()]
         base = [[f for f in r if f[1] < 3] for r in rows]
         counts = [Counter(f[1] for f in r) for r in base]
