@@ -16,6 +16,8 @@ from marquee.llm.common import Scratch, table
 
 # The rows depend on hashes and on a tokenizer's merges, which SQL cannot express.
 ORACLE_SQL = None
+#: Documents that share so many percent of their shingles are copies of each other.
+NEAR_PERCENT = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
-    return near_dup.deduplicate(docs)
+    return near_dup.deduplicate(docs, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,9 @@ whose bands lead to the largest buckets; then those of other components with the
 these; what still stands apart is compared with all members of other components. So a group of
 thousands of copies costs a few comparisons per member, and no link between components is left out.
 
-The random sources are fixed, so results are repeatable. At the similarity of the threshold itself a
-pair shares no band with a chance of 7 in a million.
+The random sources are fixed, so results are repeatable. The threshold is a parameter, and a lower one
+takes more bands: at the similarity of the threshold itself a pair shares no band with a chance of at
+most 10 in a million (7 at 85 %, 9 at 80 %).
 
 Defined cases: a text of fewer than five words is one shingle; without words it is empty, linked with
 nothing, its own component; a null text is empty; a null id takes part but never names a component
@@ -25,6 +26,7 @@ result. Other columns, also ones named like a result, are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,17 @@ from marquee.llm.components import components
 
 SHINGLE = 5
 THRESHOLD_PERCENT = 85
-BANDS, ROWS = 16, 4
+ROWS = 4
+#: The chance that a pair at the threshold shares no band is at most this.
+MISSED = 1e-5
+
+
+def bands_at(threshold_percent: int) -> int:
+    """The fewest bands that miss no more than that: 16 at 85 %, 22 at 80 %."""
+    return math.ceil(math.log(MISSED) / math.log(1 - (threshold_percent / 100) ** ROWS))
+
+
+BANDS = bands_at(THRESHOLD_PERCENT)
 #: In a bucket of at most so many members all pairs of different components are compared.
 DIRECT = 24
 SLOTS = BANDS * ROWS
@@ -77,9 +89,9 @@ def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
     return np.unique(total)
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+def signatures(sets: list[np.ndarray], n_slots: int = SLOTS) -> np.ndarray:
     """The SuperMinHash signature of each set, as one row of slots; an empty set has infinite slots."""
-    slots = np.full((len(sets), SLOTS), np.inf)
+    slots = np.full((len(sets), n_slots), np.inf)
     begin = 0
     while begin < len(sets):
         end, size = begin, 0
@@ -92,15 +104,16 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _fill(sets: list[np.ndarray], slots: np.ndarray) -> None:
+    n_slots = slots.shape[1]
     seeds = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     walk = None
-    steps = np.arange(1, 2 * SLOTS + 1, dtype=np.uint64) * _STEP
-    for rank in range(SLOTS):
+    steps = np.arange(1, 2 * n_slots + 1, dtype=np.uint64) * _STEP
+    for rank in range(n_slots):
         if not len(seeds):
             return
         draw = mix(seeds + steps[2 * rank])
-        pick = rank + (mix(seeds + steps[2 * rank + 1]) >> np.uint64(33)).astype(np.int64) % (SLOTS - rank)
+        pick = rank + (mix(seeds + steps[2 * rank + 1]) >> np.uint64(33)).astype(np.int64) % (n_slots - rank)
         value = rank + (draw >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
         if walk is None:
             slot = pick
@@ -108,11 +121,11 @@ def _fill(sets: list[np.ndarray], slots: np.ndarray) -> None:
             at = np.arange(len(seeds))
             slot = walk[at, pick].astype(np.int64)
             walk[at, pick] = walk[:, rank]
-        np.minimum.at(slots.reshape(-1), owner * SLOTS + slot, value)
+        np.minimum.at(slots.reshape(-1), owner * n_slots + slot, value)
         going = (slots.max(axis=1) >= rank + 1)[owner]
         seeds, owner = seeds[going], owner[going]
         if walk is None:
-            walk = np.tile(np.arange(SLOTS, dtype=np.uint8), (len(seeds), 1))
+            walk = np.tile(np.arange(n_slots, dtype=np.uint8), (len(seeds), 1))
             walk[np.arange(len(seeds)), pick[going]] = 0
         else:
             walk = walk[going]
@@ -120,27 +133,28 @@ def _fill(sets: list[np.ndarray], slots: np.ndarray) -> None:
 
 def bands(slots: np.ndarray) -> np.ndarray:
     """One hash per band of each signature."""
-    bits = slots.view(np.uint64).reshape(len(slots), BANDS, ROWS)
-    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bits.shape[:2]).copy()
+    count = slots.shape[1] // ROWS
+    bits = slots.view(np.uint64).reshape(len(slots), count, ROWS)
+    out = np.broadcast_to(np.arange(1, count + 1, dtype=np.uint64), bits.shape[:2]).copy()
     for r in range(ROWS):
         out = mix(out + bits[:, :, r] + _STEP)
     return out.view(np.int64)
 
 
-def _sign(batches):
+def _sign(batches, n_bands):
     hashes = WordHashes()
     for batch in sliced(batches):
         sets = [shingles(t, hashes) for t in batch.column("text").to_pylist()]
-        banded = bands(signatures(sets))
+        banded = bands(signatures(sets, n_bands * ROWS))
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
             "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
             "class": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-            "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, (len(sets) + 1) * BANDS, BANDS), pa.int32()), pa.array(banded.reshape(-1))),
+            "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, (len(sets) + 1) * n_bands, n_bands), pa.int32()), pa.array(banded.reshape(-1))),
         })
 
 
-def _confirm(batches):
+def _confirm(batches, threshold):
     hashes = WordHashes()
     last, wide = None, None
     for batch in sliced(batches):
@@ -150,7 +164,7 @@ def _confirm(batches):
                 last, wide = b, shingles(text_b, hashes)
             narrow = shingles(text_a, hashes)
             both = len(np.intersect1d(narrow, wide, assume_unique=True))
-            keep.append(100 * both >= THRESHOLD_PERCENT * (len(narrow) + len(wide) - both))
+            keep.append(100 * both >= threshold * (len(narrow) + len(wide) - both))
         yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")})
 
 
@@ -164,15 +178,17 @@ def _sets(batches):
 class _Search:
     """The steps of one run; everything that is used more than once is stored."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, threshold_percent: int = THRESHOLD_PERCENT):
+        self.threshold = threshold_percent
         self.scratch = Scratch(docs.sparkSession)
         self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
         self.step = 0
 
     def sign(self) -> None:
         kind = self.docs.schema["doc_id"].dataType.simpleString()
+        n_bands = bands_at(self.threshold)
         self.members = self.scratch.keep(self.docs.mapInArrow(
-            _sign, f"doc_id {kind}, text_hash long, n_shingles long, class binary, bands array<long>"), "members")
+            lambda batches: _sign(batches, n_bands), f"doc_id {kind}, text_hash long, n_shingles long, class binary, bands array<long>"), "members")
         # One document stands for its class: its text confirms the links of the class.
         self.classes = self.scratch.keep(self.members.where("class is not null").groupBy("class").agg(
             F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n"),
@@ -202,13 +218,15 @@ class _Search:
             return found.select(*[c for c in side.columns if c not in "ih"], F.col("text").alias(f"text_{name}"))
         left = texts(near.join(of.withColumnRenamed("class", "a"), "a").select("a", "b", "i", "h"), "a")
         right = texts(near.select("b").distinct().join(of.withColumnRenamed("class", "b"), "b").select("b", "i", "h"), "b")
-        checked = left.join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a binary, b binary")
+        threshold = self.threshold
+        checked = left.join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
+            lambda batches: _confirm(batches, threshold), "a binary, b binary")
         return self.scratch.keep(checked, f"links{self.step}")
 
     def link(self) -> DataFrame:
         """node, root of all classes that have links."""
         center = F.max_by("class", F.struct("weight", "class"))
-        near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * THRESHOLD_PERCENT
+        near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * self.threshold
         member = self.buckets
         first = member.groupBy("bucket").agg(center.alias("b"), F.max_by("n", F.struct("weight", "class")).alias("n2"))
         pairs = member.join(first, "bucket").where((F.col("class") != F.col("b")) & near)
@@ -258,7 +276,7 @@ class _Search:
         ordered = rows.join(often, "element").groupBy("class", "n", "root").agg(
             F.sort_array(F.collect_list(F.struct("f", "element"))).alias("elements"))
         # Shares of the set that a partner of any size, or of at least this size, must have.
-        t = THRESHOLD_PERCENT
+        t = self.threshold
         prefix = (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")
         rows = self.scratch.keep(ordered.select(
             "class", "n", "root", F.posexplode(F.slice("elements", F.lit(1), prefix)).alias("at", "e")).where("e.f > 1").select(
@@ -289,10 +307,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return _Search(docs).result().select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, threshold_percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """One document of each group, the one of the smallest id; documents without words all stay, but
     for repeated rows."""
-    search = _Search(docs)
+    search = _Search(docs, threshold_percent)
     rows = search.scratch.keep(search.result().select("doc_id", "text_hash", "kept"), "verdicts")
     gone = search.scratch.keep(rows.where("not kept").select("doc_id", "text_hash").distinct(), "gone")
     twice = search.scratch.keep(rows.where("kept").groupBy("doc_id", "text_hash").count().where("count > 1").drop("count"), "twice")

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from marquee.llm import near_dup as n
 
 SCHEMA = "doc_id long, text string, kept int"
@@ -109,3 +110,27 @@ def test_signature_estimates_similarity():
         a, b = n.signatures([pool[:260], pool[40:]])
         errors.append((a == b).mean() - 220 / 300)
     assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.08
+
+
+def test_threshold_is_a_parameter(spark):
+    """Pairs at 0.80 to 0.85 are copies for a stage that takes 80 %, and none at 85 %."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(60):
+        base = [f"p{k}x{i}" for i in range(204)]
+        copy = list(base)
+        for at in (20, 60, 100, 140):
+            copy[at] = f"q{rng.randrange(10 ** 9)}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    a, b = shingle_set(rows[0][1]), shingle_set(rows[1][1])
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], SCHEMA)
+    assert n.deduplicate(docs).count() == 120
+    assert sorted(r.doc_id for r in n.deduplicate(docs, 80).collect()) == list(range(0, 120, 2))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == list(range(0, 120, 2))
+
+
+def test_bands_miss_few_pairs_at_the_threshold():
+    assert n.bands_at(85) == n.BANDS == 16 and n.bands_at(80) == 22
+    for percent in (70, 80, 85, 90):
+        assert (1 - (percent / 100) ** n.ROWS) ** n.bands_at(percent) <= n.MISSED
