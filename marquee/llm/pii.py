@@ -1,12 +1,14 @@
 """Personal data, and the terms that give it away, in DataFrame functions only.
 
 Base patterns find e-mail and network addresses, card and phone numbers. Each distinct value is a
-protected entity. What stands near an entity may identify it as well: for the terms in its
-surroundings, co-occurrence over the whole corpus tells how much of the entity's information
+protected entity. What stands in a document with an entity may identify it as well: for all terms of
+these documents, co-occurrence over the whole corpus tells how much of the entity's information
 I(e) = -log2 p(e) a reader of the term gains, PMI(t, e) = log2 p(t, e) / (p(t) p(e)). The share
 PMI / I is the disclosure, 1 for a term that occurs with this entity alone. Terms above the upper
-threshold are removed, those above the lower one generalised. Frequencies are counted in documents,
-over all documents, before anything is joined; only terms near an entity are counted at all.
+threshold are removed, those above the lower one generalised, wherever they stand in a document that
+holds the entity. All frequencies are numbers of distinct documents, of all documents. As a term stands
+with an entity at most as often as the entity occurs, terms that are too frequent to disclose any are
+left out before terms and entities are paired; this changes no result.
 
 Defined cases: a null text is empty; a term needs to stand with its entity in two documents; terms
 inside base matches are none; repeated rows give repeated results and count once; a null id is an id
@@ -33,11 +35,14 @@ NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9][0-9 -]{14
 KINDS = (*PATTERNS, "removed", "general")
 IP_PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TERM = r"\p{L}{3,}"
-#: Characters before and after a match that are its surroundings.
-AROUND = 120
+#: In texts whose matches were replaced by their first and last characters around a mark: a term that no
+#: match touches.
+MARK = "\x01"
+FREE_TERM = rf"(?<![\p{{L}}{MARK}])\p{{L}}{{3,}}+(?!{MARK})"
 MIN_DOCUMENTS = 2
 REMOVE, GENERALISE = 0.9, 0.75
 
+PLACES = "array<struct<kind:int,start:int,end:int>>"
 SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -53,6 +58,46 @@ def _places(matches: str, gaps: str) -> Column:
     return F.aggregate(matches, start, add, lambda a: a["out"])
 
 
+def _kind_places(matches: str, gaps: str, kinds: str) -> Column:
+    """(kind, start, end) of the matches that have a kind."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.array().cast(PLACES).alias("out"))
+
+    def add(a, m):
+        begin = a["at"] + F.length(F.get(gaps, a["k"]))
+        end = begin + F.length(m)
+        kind = F.get(kinds, a["k"])
+        place = F.struct(kind.alias("kind"), begin.alias("start"), end.alias("end"))
+        return F.struct(end.alias("at"), (a["k"] + 1).alias("k"), F.when(
+            kind.isNotNull(), F.concat(a["out"], F.array(place))).otherwise(a["out"]).alias("out"))
+    return F.aggregate(matches, start, add, lambda a: a["out"])
+
+
+def _lowered(matches: str | Column) -> Column:
+    return F.transform(matches, lambda t: F.xxhash64(F.lower(t)))
+
+
+def _hashes(text: Column, pattern: str) -> Column:
+    """A hash for each term of a text."""
+    return _lowered(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+
+def _marked(text: Column, spans: Column) -> Column:
+    """The text with each span cut down to its first and last character around a mark."""
+    text = F.translate(text, MARK, " ")
+
+    def one(at):
+        return F.substring(text, at, F.lit(1))
+
+    def add(a, s):
+        before = F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
+        return F.struct(
+            F.when(s["end"] <= a["at"], a["out"]).otherwise(F.concat(a["out"], before, one(s["start"] + 1), F.lit(MARK), one(s["end"]))).alias("out"),
+            F.greatest(a["at"], s["end"]).alias("at"))
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.aggregate(ordered, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), add, lambda a: F.concat(
+        a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -65,6 +110,11 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add) % 10 == 0
 
 
+def _plain(kind: str, value: Column) -> Column:
+    """One form for all ways to write a value."""
+    return F.lower(value) if kind == "email" else value if kind == "ip" else _digits(value)
+
+
 def _holds(kind: str):
     return lambda span: _valid(kind, span["value"])
 
@@ -109,64 +159,80 @@ class _Search:
         self.scratch = Scratch(docs.sparkSession)
         self.rows = docs.select("doc_id", *[c.alias(n) for n, c in _key().items()], whole_text().alias("_text"))
         found = base_spans(self.rows, "_text")
-        # Each match with the text before and after it; a word that the cut goes through is left out.
-        left, right = F.lit(r"^[\p{L}\p{N}]+"), F.lit(r"[\p{L}\p{N}]+$")
-
-        def near(kind: str, number: int):
-            return lambda s: surrounded(kind, number, s)
-
-        def surrounded(kind: str, number: int, s: Column) -> Column:
-            begin = F.greatest(s["start"] - AROUND, F.lit(0))
-            before = F.substring(F.col("_text"), begin + 1, s["start"] - begin)
-            before = F.when(begin > 0, F.regexp_replace(before, left, F.lit(""))).otherwise(before)
-            after = F.substring(F.col("_text"), s["end"] + 1, F.lit(AROUND))
-            after = F.when(F.length(after) == AROUND, F.regexp_replace(after, right, F.lit(""))).otherwise(after)
-            plain = F.lower(s["value"]) if kind == "email" else s["value"] if kind == "ip" else _digits(s["value"])
-            return F.struct(F.lit(number).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                            F.xxhash64(F.lit(kind), plain).alias("entity"), before.alias("before"), after.alias("after"))
-        spans = F.concat(*[F.transform(k, near(k, i)) for i, k in enumerate(PATTERNS)])
-        self.base = self.scratch.keep(found.select("doc_id", *_key(), spans.alias("base")), "base")
-
-    def near_terms(self) -> DataFrame:
-        """_id, _hash, entity, term (a hash), start, end: every term near a match, once per document."""
-        held = self.base.where(F.size("base") > 0).dropDuplicates(list(_key()))
-        rows = held.select(*_key(), F.transform("base", lambda b: F.struct(b["start"], b["end"])).alias("own"),
-                           F.explode("base").alias("b"))
-        sides = F.array(
-            F.struct((F.col("b.start") - F.length("b.before")).alias("at"), F.col("b.before").alias("piece")),
-            F.struct(F.col("b.end").alias("at"), F.col("b.after").alias("piece")))
-        rows = rows.select(*_key(), "own", "b.entity", F.explode(sides).alias("side"))
-        rows = rows.withColumns({"m": F.regexp_extract_all("side.piece", F.lit(TERM), F.lit(0)), "g": F.split("side.piece", TERM, -1)})
-        rows = rows.withColumn("p", _places("m", "g"))
-        rows = rows.select(*_key(), "own", "entity", F.col("side.at").alias("at"), F.explode("p").alias("p"))
-        rows = rows.select(*_key(), "own", "entity", F.xxhash64(F.lower("p.value")).alias("term"),
-                           (F.col("at") + F.col("p.start")).alias("start"), (F.col("at") + F.col("p.end")).alias("end"))
-        inside = F.exists("own", lambda o: (o["start"] < F.col("end")) & (F.col("start") < o["end"]))
-        return rows.where(~inside).drop("own").distinct()
+
+        def entity(kind: str, number: int):
+            return lambda s: F.struct(F.lit(number).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+                                      F.xxhash64(F.lit(kind), _plain(kind, s["value"])).alias("entity"))
+        spans = F.concat(*[F.transform(k, entity(k, i)) for i, k in enumerate(PATTERNS)])
+        found = found.select("doc_id", *_key(), "_text", spans.alias("base")).withColumn(
+            "_free", F.when(F.size("base") > 0, _marked(F.col("_text"), F.col("base"))))
+        self.base = self.scratch.keep(found.select(
+            "doc_id", "_id", "_hash", "base", F.array_distinct(_hashes(F.col("_free"), FREE_TERM)).alias("free")), "base")
+
+    def count_documents(self) -> None:
+        """The number of distinct documents, and the copies of repeated ones."""
+        self.copies = self.scratch.keep(self.base.groupBy("_id", "_hash").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+        self.repeated = self.copies.agg(F.sum(F.col("copies") - 1)).first()[0] or 0
+        self.total = self.base.count() - self.repeated
+
+    def counted_terms(self) -> DataFrame:
+        """term, n_term: the number of distinct documents of each term."""
+        rows = self.rows.withColumn("weight", F.lit(1))
+        if self.repeated:
+            rows = self.rows.join(bounded_side(self.scratch, self.copies, "copies"), ["_id", "_hash"], "left").withColumn(
+                "weight", 1 / F.coalesce("copies", F.lit(1)))
+        terms = rows.select("weight", F.explode(F.array_distinct(_hashes(F.col("_text"), TERM))).alias("term"))
+        return terms.groupBy("term").agg(F.round(F.sum("weight")).cast("long").alias("n_term"))
+
+    def together(self) -> DataFrame:
+        """_id, _hash, term, n_term, entity, n_entity: terms and entities of a document, but for terms
+        that are too frequent to disclose the entity."""
+        n = F.lit(max(self.total, 1))
+        held = self.scratch.keep(self.base.where(F.size("base") > 0).dropDuplicates(["_id", "_hash"]).select(
+            "_id", "_hash", "base", "free"), "held")
+        entities = held.select("_id", "_hash", F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity"))
+        often = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(
+            (F.col("n_entity") >= MIN_DOCUMENTS) & (F.col("n_entity") < n))
+        # From PMI >= GENERALISE * I with a co-occurrence of n_entity; the margin is for rounding.
+        often = self.scratch.keep(often.withColumn(
+            "most", n * F.pow(F.col("n_entity") / n, F.lit(GENERALISE)) * (1 + 1e-9)), "often")
+        most = often.agg(F.max("most")).first()[0] or 0.0
+        entities = self.scratch.keep(entities.join(bounded_side(self.scratch, often, "often"), "entity"), "entities")
+        counted = self.counted_terms().where((F.col("n_term") >= MIN_DOCUMENTS) & (F.col("n_term") <= F.lit(most)))
+        counted = self.scratch.keep(counted, "counted")
+        terms = held.select("_id", "_hash", F.explode("free").alias("term")).join(bounded_side(self.scratch, counted, "counted"), "term")
+        pairs = terms.join(entities, ["_id", "_hash"]).where(F.col("n_term") <= F.col("most"))
+        self.held = held
+        return pairs.select("_id", "_hash", "term", "n_term", "entity", "n_entity")
+
+    def disclosing(self) -> tuple[DataFrame, DataFrame]:
+        """The terms and entities of each document, and term, entity, disclosure of those that disclose."""
+        self.count_documents()
+        near = self.scratch.keep(self.together(), "near")
+        n = F.lit(max(self.total, 1))
+        pairs = near.groupBy("term", "entity", "n_term", "n_entity").agg(F.count("*").alias("both")).where(F.col("both") >= MIN_DOCUMENTS)
+        gain = F.log2(F.col("both") * n / (F.col("n_term") * F.col("n_entity")))
+        told = pairs.withColumn("disclosure", gain / F.log2(n / F.col("n_entity"))).where(F.col("disclosure") >= GENERALISE)
+        return near, self.scratch.keep(told.select("term", "entity", "disclosure"), "told")
 
     def term_spans(self) -> DataFrame:
         """_id, _hash, terms: the places to remove or generalise of each document that has any."""
-        near = self.scratch.keep(self.near_terms(), "near")
-        pairs = near.groupBy("term", "entity", *_key()).agg(F.lit(1).alias("one")).groupBy("term", "entity").agg(F.count("*").alias("both"))
-        pairs = self.scratch.keep(pairs.where(F.col("both") >= MIN_DOCUMENTS), "pairs")
-        wanted = self.scratch.keep(pairs.select("term").distinct(), "wanted")
-        terms = F.array_distinct(F.transform(F.regexp_extract_all(F.lower("_text"), F.lit(TERM), F.lit(0)), lambda t: F.xxhash64(t)))
-        counted = self.rows.select(F.explode(terms).alias("term")).join(bounded_side(self.scratch, wanted, "wanted"), "term", "left_semi")
-        counted = counted.groupBy("term").agg(F.count("*").alias("n_term"))
-        entities = self.base.select(*_key(), F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity"))
-        entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
-        total = self.base.count()
-        own = F.log2(F.lit(max(total, 1)) / F.col("n_entity"))
-        gain = F.log2(F.col("both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
-        told = pairs.join(counted, "term").join(entities, "entity").where("n_entity < %d" % max(total, 1))
-        told = told.withColumn("disclosure", gain / own).where(F.col("disclosure") >= GENERALISE)
-        told = self.scratch.keep(told.select("term", "entity", "disclosure"), "told")
+        near, told = self.disclosing()
         # A hot pair stands on the left side, which adaptive execution splits.
-        hit = near.join(bounded_side(self.scratch, told, "told"), ["term", "entity"])
-        places = hit.groupBy(*_key(), "start", "end").agg(F.max("disclosure").alias("d"))
+        hit = near.join(bounded_side(self.scratch, told, "told"), ["term", "entity"]).groupBy("_id", "_hash", "term").agg(
+            F.max("disclosure").alias("d"))
         kind = F.when(F.col("d") >= REMOVE, KINDS.index("removed")).otherwise(KINDS.index("general"))
-        return self.scratch.keep(places.groupBy(*_key()).agg(F.sort_array(F.collect_list(F.struct(
-            kind.alias("kind"), "start", "end"))).alias("terms")), "terms")
+        hit = hit.groupBy("_id", "_hash").agg(F.collect_list(F.struct("term", kind.alias("kind"))).alias("hits"))
+        own = self.held.select("_id", "_hash", F.transform("base", lambda b: F.struct(b["start"], b["end"])).alias("own"))
+        hit = self.scratch.keep(own.join(hit, ["_id", "_hash"]), "hits")
+        rows = self.rows.join(bounded_side(self.scratch, hit, "hits"), ["_id", "_hash"]).select(
+            "_id", "_hash", "own", F.map_from_entries("hits").alias("kinds"),
+            F.regexp_extract_all("_text", F.lit(TERM), F.lit(0)).alias("m"), F.split("_text", TERM, -1).alias("g"))
+        rows = rows.withColumn("k", F.transform(_lowered("m"), lambda t: F.try_element_at("kinds", t)))
+        rows = rows.select("_id", "_hash", "own", _kind_places("m", "g", "k").alias("p"))
+        free = F.filter("p", lambda p: ~F.exists("own", lambda o: (o["start"] < p["end"]) & (p["start"] < o["end"])))
+        places = rows.select("_id", "_hash", F.sort_array(free).alias("terms"))
+        return self.scratch.keep(places.dropDuplicates(["_id", "_hash"]), "terms")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -83,3 +84,64 @@ def test_empty_and_extra_columns(spark):
 def test_native_plan(spark):
     docs = spark.createDataFrame([(1, "a@b.cd")], "doc_id long, text string")
     assert "Python" not in p.report(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_far_from_the_match(spark):
+    """Co-occurrence is counted in whole documents, and terms are marked in all of the document."""
+    rng = random.Random(3)
+    common = [f"common{'abcdefgh'[i % 8]}{'ijklmnop'[i // 8]}" for i in range(64)]
+
+    def fill(k):
+        return " ".join(rng.choices(common, k=k))
+    rows = [(i, fill(40)) for i in range(200)]
+    rows += [(1000 + i, f"the Quillfarer {fill(60)} mail éabc@corp.io or abc@corp.io, {fill(60)} Quillfarer again{fill(1)}") for i in range(3)]
+    docs = spark.createDataFrame(rows + rows[200:201] * 2, "doc_id long, text string")
+    result = p.report(docs).collect()
+    assert len(result) == 205
+    for r in result:
+        if r.doc_id >= 1000:
+            text = dict(rows)[r.doc_id]
+            for m in re.finditer("Quillfarer", text):
+                assert f"removed:{m.start()}:{m.end()}" in r.spans
+            assert r.n_email == 2 and r.n_removed == 4, r
+        else:
+            assert r.n_removed + r.n_general == 0
+    clean = {r.doc_id: r.text for r in p.sanitise(docs).collect()}
+    assert all("Quillfarer" not in clean[1000 + i] for i in range(3))
+
+
+def test_disclosure_equals_counting(spark):
+    """Every disclosing pair of term and entity, against plain counting of documents."""
+    rng = random.Random(11)
+    vocab = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(400)]
+    rows = []
+    for i in range(150):
+        words = rng.choices(vocab[:340], k=rng.randint(5, 60))
+        for _ in range(rng.choice((0, 0, 1, 2))):
+            u = rng.randrange(25)
+            words.insert(rng.randrange(len(words)), f"u{u}@x.org")
+            words += [vocab[325 + 3 * u + k] for k in range(3) if rng.random() < 0.8]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string")
+    entities = {i: set(re.findall(r"u\d+@x\.org", t)) for i, t in rows}
+    terms = {i: set(re.findall(r"\b[a-h]{5}\b", t)) for i, t in rows}
+    expected = 0
+    marked = {i: {} for i, _ in rows}
+    for e in set().union(*entities.values()):
+        own = [i for i in entities if e in entities[i]]
+        for t in set().union(*[terms[i] for i in own]):
+            n_term, both = sum(t in s for s in terms.values()), sum(t in terms[i] for i in own)
+            if both >= 2:
+                share = math.log2(both * len(rows) / (n_term * len(own))) / math.log2(len(rows) / len(own))
+                assert abs(share - p.REMOVE) > 1e-9 and abs(share - p.GENERALISE) > 1e-9
+                if share >= p.GENERALISE:
+                    expected += 1
+                    for i in own:
+                        if t in terms[i]:
+                            marked[i][t] = max(share, marked[i].get(t, 0))
+    assert p._Search(docs).disclosing()[1].count() == expected > 20
+    for r in p.report(docs).collect():
+        text = dict(rows)[r.doc_id]
+        places = [(t, m.start(), m.end()) for t in marked[r.doc_id] for m in re.finditer(rf"\b{t}\b", text)]
+        wanted = {f"{'removed' if marked[r.doc_id][t] >= p.REMOVE else 'general'}:{a}:{b}" for t, a, b in places}
+        assert {s for s in r.spans.split(",") if s.startswith(("removed", "general"))} == wanted
