@@ -8,14 +8,15 @@ item order and jumps to the first item whose upper bounds can reach the threshol
 of items let it skip whole blocks. The very first of these tests, whether the bounds of all terms of a
 passage together reach the threshold, is made for all passages of a batch at once. Everything at or
 above the threshold is retrieved, with no cut at a number of results. A retrieved item is confirmed in
-the document by its overlap: shared five-word shingles of its question and of its answer.
+the document by its overlap: shared five-word shingles of its question and of its answer, or of the whole
+item if it has no answer of its own.
 
 The index is sent to the tasks. Items beyond its bound in bytes are dealt to several indexes, which
 all documents pass one after the other.
 
 Defined cases: null or empty texts and items match nothing; the answer of an item is what follows an
-answer mark or a question mark, else its last sentence, else the last third of its words; an item of
-one word is not searched; repeated
+answer mark or a question mark; an item without these is one text, its answer overlap is null; an item
+of one word is not searched; repeated
 rows give repeated results, and an item that is listed twice is one; an item without an id is found
 under a null id; an empty table gives an empty result. Other columns, also ones named like a result,
 are not read.
@@ -49,7 +50,6 @@ INDEX_BYTES = 4 << 20
 
 WORD = re.compile(r"[^\W_]+")
 ANSWER = re.compile(r"\banswer\s*:|\n\s*a\s*:|\?", re.I)
-SENTENCE = re.compile(r"(?<=[.!])\s+(?=\S)")
 
 
 def terms_of(text: str) -> list[str]:
@@ -57,15 +57,11 @@ def terms_of(text: str) -> list[str]:
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
+    """The words before and after the last answer mark; without an answer all words are the first part."""
     marks = list(ANSWER.finditer(text))
     if marks and WORD.search(text, marks[-1].end()):
         return terms_of(text[:marks[-1].start()]), terms_of(text[marks[-1].end():])
-    sentences = [s for s in SENTENCE.split(text) if WORD.search(s)]
-    if len(sentences) > 1:
-        return terms_of(" ".join(sentences[:-1])), terms_of(sentences[-1])
-    words = terms_of(text)
-    cut = len(words) - len(words) // 3
-    return words[:cut], words[cut:]
+    return terms_of(text), []
 
 
 def shingles(words: list[str]) -> set[tuple]:
@@ -210,15 +206,18 @@ class Index:
                 found[key] = max(found[key], score)
         return found
 
-    def overlaps(self, words: list[str], items: list[int]) -> list[tuple[float, float]]:
-        """The shares of each item's question and answer shingles that the words hold."""
+    def overlaps(self, words: list[str], items: list[int]) -> list[tuple[float, float | None]]:
+        """The shares of each item's question and answer shingles that the words hold, none for no answer."""
         wanted: dict[int, set[tuple]] = defaultdict(set)
         for item in items:
             for part in self.parts[item]:
                 for s in part:
                     wanted[len(s)].add(s)
         held = {s for size, some in wanted.items() for s in zip(*[words[i:] for i in range(size)]) if s in some}
-        return [tuple(len(p & held) / len(p) if p else 1.0 for p in self.parts[item]) for item in items]
+
+        def share(part: set[tuple]) -> float | None:
+            return len(part & held) / len(part) if part else None
+        return [(1.0 if not self.parts[item][0] else share(self.parts[item][0]), share(self.parts[item][1])) for item in items]
 
     def leaks(self, texts: list[str | None]):
         """(document, item id, score, question overlap, answer overlap) of every confirmed match."""
@@ -229,7 +228,7 @@ class Index:
         for number in sorted(by_doc):
             pairs = sorted(by_doc[number])
             for (item, score), (q, a) in zip(pairs, self.overlaps(docs[number], [i for i, _ in pairs])):
-                if q >= MIN_OVERLAP and a >= MIN_OVERLAP:
+                if q >= MIN_OVERLAP and (a is None or a >= MIN_OVERLAP):
                     yield number, self.items[item][0], score, q, a
 
 
@@ -259,7 +258,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 wanted = pa.array(columns[0], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(wanted), pa.array(columns[1], ITEM_TYPES.get(kinds[1])),
-                     *[pa.array([round(x, 9) for x in c], pa.float64()) for c in columns[2:]]],
+                     *[pa.array([x if x is None else round(x, 9) for x in c], pa.float64()) for c in columns[2:]]],
                     names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
         part = rows.mapInArrow(scan, schema)
         found = part if found is None else found.union(part)

@@ -91,3 +91,23 @@ def test_empty_and_repeated(spark):
     assert [(r.doc_id, r.item_id) for r in d.leaks(docs, bench).collect()] == [(1, 5), (1, 5)]
     assert d.leaks(docs, bench.limit(0)).count() == 0 and d.leaks(docs.limit(0), bench).count() == 0
     assert d.decontaminate(docs, bench.limit(0)).count() == 2 and d.decontaminate(docs, bench).count() == 0
+
+
+def test_near_and_partial_copies_of_plain_items(spark):
+    """Without an answer mark the whole item counts; with one, both sides must be there."""
+    rng = random.Random(7)
+
+    def prose(k):
+        return " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(k))
+    plain = f"{prose(30)}. {prose(5)}."
+    short = f"{prose(30)}. Ñ."
+    marked = f"{prose(30)} answer: {prose(5)}"
+    changed = plain.split()
+    changed[-2] = "changed"
+    docs = [(1, plain), (2, " ".join(changed)), (3, " ".join(plain.split()[:28])), (4, " ".join(plain.split()[:12])),
+            (5, " ".join(short.split()[:-1])), (6, marked), (7, " ".join(marked.split()[:30])), (8, prose(60))]
+    docs = spark.createDataFrame([(i, f"{prose(70)} {t} {prose(70)}") for i, t in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, plain), (2, short), (3, marked)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.answer_overlap for r in d.leaks(docs, bench).collect()}
+    assert got == {(1, 1): None, (2, 1): None, (3, 1): None, (5, 2): None, (6, 3): 1.0}
+    assert {r.doc_id for r in d.decontaminate(docs, bench).collect()} == {4, 7, 8}
