@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontaminate, fixity, html_text, near_dup, ordinal, pii, quality_rules, repeats, secret_scan
+from marquee.llm import bpe, decontaminate, divergence, fixity, html_text, near_dup, ordinal, pii, quality_rules, repeats, secret_scan
 from marquee.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,48 @@ def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.grade(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_source_divergence"] = f"""
+    WITH d AS (
+        SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+        FROM documents),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    one AS (SELECT lang, source, unnest(list_distinct(w)) AS term FROM d),
+    k AS (SELECT lang, term FROM one GROUP BY 1, 2 HAVING count(*) >= {divergence.MIN_DOCUMENTS}),
+    c AS (
+        SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) JOIN k USING (lang, term)
+        GROUP BY 1, 2, 3),
+    v AS (SELECT g.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM g) g LEFT JOIN k USING (lang) GROUP BY 1),
+    t AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY 1, 2),
+    p AS (
+        SELECT t.lang, t.source, k.term, coalesce(n, 0) AS n,
+               CAST(1 + {divergence.SCALE}::HUGEINT * (coalesce(n, 0) + 1) // (total + v) AS BIGINT) AS p
+        FROM t JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+    l AS (
+        SELECT lang, term, CAST(1 + {divergence.SCALE}::HUGEINT * (n + 1) // (total + v) AS BIGINT) AS q
+        FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY 1, 2)
+        JOIN (SELECT lang, sum(total) AS total FROM t GROUP BY 1) USING (lang) JOIN v USING (lang)),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+    every AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM every)
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The stages stand at the top of the repository and use this subpackage.
