@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontaminate, divergence, fixity, html_text, near_dup, ordinal, pii, quality_rules, repeats, secret_scan
+from marquee.llm import bpe, chat_format, decontaminate, divergence, fixity, html_text, near_dup, ordinal, pii, prefix_trie, quality_rules, repeats, secret_scan
 from marquee.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +171,74 @@ ORACLES["op11_source_divergence"] = f"""
 """
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+# The CRC-32 of the decimal id, bit by bit; a prefix of turns is named by a digest of its turns.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                 lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))))"""
+ORACLES["op12_prefix_trie"] = f"""
+    WITH t AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+               sha256(coalesce(role, '') || chr(10) || length(coalesce(role, '')) || chr(10) || coalesce(text, '')) AS id,
+               len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')) AS words
+        FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+    r AS (
+        SELECT c.conv_id, place, id, words FROM c JOIN t ON t.conv_id = c.base AND place <= h
+        UNION ALL SELECT conv_id, least(h, n) + place - h, id, words
+        FROM t JOIN c USING (conv_id) JOIN (
+            SELECT c.conv_id, count(t.conv_id) AS n FROM c LEFT JOIN t ON t.conv_id = c.base AND place <= h GROUP BY 1) USING (conv_id)
+        WHERE place > h),
+    paths AS (
+        SELECT conv_id, place AS depth, words, sha256(string_agg(id, ',') OVER (PARTITION BY conv_id ORDER BY place)) AS key FROM r
+        UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+    lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY 1),
+    n AS (
+        SELECT key, depth, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs
+        FROM paths GROUP BY 1, 2),
+    ends AS (
+        SELECT key, depth, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS sha
+        FROM paths JOIN lengths USING (conv_id, depth) GROUP BY 1, 2),
+    up AS (
+        SELECT n.key, n.depth, p.key AS parent FROM n LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+    kids AS (SELECT parent AS key, count(*) AS n_children FROM up WHERE parent IS NOT NULL GROUP BY 1),
+    below AS (
+        SELECT p.key, p.depth, sum(CASE WHEN k.key IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+        FROM n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids k ON k.key = n.key GROUP BY 1, 2)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+           CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256
+    FROM n JOIN up USING (key, depth) LEFT JOIN n a ON a.key = up.parent LEFT JOIN kids ON kids.key = n.key
+    JOIN below ON below.key = n.key LEFT JOIN ends ON ends.key = n.key
+"""
+
+
+@query
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.round_trip(table(spark, sf_dir, "conversations"))
+
+
+def _sql_escaped(text: str) -> str:
+    return f"regexp_replace({text}, '{chat_format.GUARDED}', '\\1\\2\\\\\\3', 'g')"
+
+
+_MARKS = sum(map(len, (chat_format.START, chat_format.SEP, chat_format.END)))
+ORACLES["op13_chat_format"] = f"""
+    WITH r AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '{chat_format.PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{chat_format.PROBE}')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, encode(role), encode(text))) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, encode(role), encode(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length({_sql_escaped("role")}) + length({_sql_escaped("text")}) + {_MARKS}) AS BIGINT) AS formatted_chars
+    FROM r GROUP BY conv_id
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The stages stand at the top of the repository and use this subpackage.
