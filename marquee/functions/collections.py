@@ -20,14 +20,22 @@ def join_texts(texts: Column, separator: str) -> Column:
     return F.array_join(texts, separator)
 
 
+# What a backslash may stand before in a string of a usual list.
+_ESCAPED = r"\\(?:['\"\\abfnrtv]|x[0-9A-Fa-f]{2}|u[0-9A-Fa-f]{4})"
+
+
 def _plain_list(code: str) -> str:
-    """The pattern of a list of mappings as Python usually prints it: strings without escapes or braces,
-    whole numbers and the three words as values, and the code, a string, just once in each mapping."""
+    """The pattern of a list of mappings as Python usually prints it: strings without braces, whole numbers and
+    the three words as values, and the code, a string without escapes, just once in each mapping. The values of
+    other entries may hold escapes; the quote that ends a string of their kind stands in them only behind a
+    backslash, so the code's entry cannot be found inside one."""
     key = re.escape(f"'{code}'")
-    gap, single = r"[ \t\n]*+", r"'[^'\\{}\n\r\x00]*+'"
-    double = rf'"(?:(?!{key})[^"\\{{}}\n\r\x00])*+"'
-    other = rf"(?!{key}){single}{gap}:{gap}(?:{single}|{double}|None|True|False|-?(?:0|[1-9][0-9]*+)){gap}"
-    entry = rf"\{{{gap}(?:{other},{gap})*+{key}{gap}:{gap}{single}{gap}(?:,{gap}{other})*+,?{gap}\}}{gap}"
+    gap, bare = r"[ \t\n]*+", r"'[^'\\{}\n\r\x00]*+'"
+    single = rf"'[^'\\{{}}\n\r\x00]*+(?:{_ESCAPED}[^'\\{{}}\n\r\x00]*+)*+'"
+    free = rf'(?:(?!{key})[^"\\{{}}\n\r\x00])*+'
+    double = rf'"{free}(?:{_ESCAPED}{free})*+"'
+    other = rf"(?!{key}){bare}{gap}:{gap}(?:{single}|{double}|None|True|False|-?(?:0|[1-9][0-9]*+)){gap}"
+    entry = rf"\{{{gap}(?:{other},{gap})*+{key}{gap}:{gap}{bare}{gap}(?:,{gap}{other})*+,?{gap}\}}{gap}"
     return rf"^[ \t]*+\[{gap}(?:{entry}(?:,{gap}{entry})*+,?{gap})?+\][ \t\n]*+$"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from marquee.contracts import Table
 from marquee.functions.text import all_blank, is_blank
 from marquee.operators.dedup import repeated
+from marquee.operators.fingerprint import hash_sums
 
 ERROR, WARN = "error", "warn"
 _REPORT = "check string, severity string, violations bigint"
@@ -18,8 +19,8 @@ _REPORT = "check string, severity string, violations bigint"
 class GateFailure(RuntimeError):
     """At least one check of severity error found violations."""
 
-    def __init__(self, layer: str, failed: Sequence[tuple[str, int]]):
-        self.failed = list(failed)
+    def __init__(self, layer: str, failed: Sequence[tuple[str, int]], rows: Sequence[tuple[str, str, int]] = ()):
+        self.layer, self.failed, self.rows = layer, list(failed), list(rows)
         super().__init__(f"{layer}: " + ", ".join(f"{name} ({count})" for name, count in self.failed))
 
 
@@ -81,6 +82,18 @@ def same_count(name: str, source: DataFrame, stored: DataFrame, severity: str =
     )
 
 
+def same_rows(name: str, source: DataFrame, stored: DataFrame, columns: Sequence[str], severity: str = ERROR) -> DataFrame:
+    """Two checks from one pass over each side: `row_count` has the difference in rows as its violations,
+    `row_fingerprint` has 1 if the sides do not hold the same rows in any order."""
+    sums = hash_sums(columns)
+    expected = source.agg(F.struct(*sums).alias("s")).scalar()
+    found = stored.agg(F.struct(*sums).alias("found")).withColumn("expected", expected)
+    rows = F.array(*[F.struct(F.lit(f"{name}.{check}").alias("check"), F.lit(severity).alias("severity"), violations.cast("bigint").alias("violations"))
+                     for check, violations in (("row_count", F.abs(F.col("found.rows") - F.col("expected.rows"))),
+                                               ("row_fingerprint", (F.col("found") != F.col("expected")).cast("int")))])
+    return found.select(F.inline(rows))
+
+
 def contract(spark: SparkSession, name: str, schema: T.StructType, table: Table) -> DataFrame:
     """Column set and types against the declaration. Needs no scan."""
     found = {f.name: f.dataType for f in schema.fields if f.name not in table.technical}
@@ -100,5 +113,5 @@ def gate(layer: str, checks: DataFrame) -> list[tuple[str, str, int]]:
     rows = [(r["check"], r["severity"], r["violations"]) for r in checks.collect()]
     failed = [(name, count) for name, severity, count in rows if severity == ERROR and count]
     if failed:
-        raise GateFailure(layer, failed)
+        raise GateFailure(layer, failed, rows)
     return rows

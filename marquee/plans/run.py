@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.contracts import CLEAN, RAW, STAR_TABLES
-from marquee.operators.checks import gate
+from marquee.operators.checks import GateFailure, gate
 from marquee.operators.lookup import merge_names
 from marquee.plans import enrichment, gold, quality, silver
 from marquee.plans.dimensions import manual_countries, manual_languages, region_dimension
+from marquee.sources import audit, catalog
 from marquee.sources.csv import read_raw
 from marquee.sources.tables import publish, published, published_runs, read_table, write_table
 
@@ -128,19 +129,38 @@ def run_gold(spark: SparkSession, layers: Layers) -> Report:
 def run(spark: SparkSession, inputs: Inputs, root: str, run_name: str) -> dict[str, Report]:
     """Run every layer; readers see the result only after the last gate has passed. The name of a run
     that was published is refused, so nothing that readers see is ever written to; the name of a run
-    that failed may be used again."""
+    that failed may be used again. Every gate's report goes to the history of checks (`_audit`)."""
     if run_name in published_runs(spark, root):
         raise ValueError(f"run {run_name!r} is published; choose another name")
     layers = Layers(spark, root, run_name)
-    reports = {
-        "bronze": run_bronze(spark, inputs, layers),
-        "silver": run_silver(spark, inputs, layers),
-        "gold": run_gold(spark, layers),
+    steps = {
+        "bronze": lambda: run_bronze(spark, inputs, layers),
+        "silver": lambda: run_silver(spark, inputs, layers),
+        "gold": lambda: run_gold(spark, layers),
     }
+    reports = {}
+    for layer, step in steps.items():
+        try:
+            reports[layer] = step()
+        except GateFailure as stop:
+            audit.record(spark, root, run_name, layer, stop.rows, stopped=True)
+            raise
+        audit.record(spark, root, run_name, layer, reports[layer], stopped=False)
     publish(spark, root, run_name)
     return reports
 
 
+def publish_to_catalog(spark: SparkSession, root: str, database: str) -> None:
+    """Let the catalogue show the published run: clean and star tables, and the staging views over them. Called
+    again after a later publication, it moves the tables; views stay as they are and read the new run."""
+    layers = Layers(spark, root, published(spark, root))
+    catalog.create_database(spark, database)
+    for layer, names in (("silver", CLEAN), ("gold", STAR_TABLES)):
+        for name in names:
+            catalog.point(spark, database, name, layers.path(layer, name))
+    catalog.define_staging(spark, database)
+
+
 def register_views(spark: SparkSession, root: str, run_name: str | None = None) -> None:
     """Temporary views over a run, the published one by default, under the names of its tables."""
     run_name = run_name or published(spark, root)

@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marquee.contracts import Table
+from marquee.operators.fingerprint import fingerprint
+from marquee.sources.versions import current, hadoop, read_parts, write_version
 
 
 class EmptyResult(ValueError):
@@ -13,6 +19,10 @@ class CountMismatch(ValueError):
     """The stored rows are not the rows that were written."""
 
 
+class RowMismatch(ValueError):
+    """As many rows are stored as were written, but not the same."""
+
+
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """Bring a frame of an older layout to the declared one: renames, added columns, order."""
     for column in table.columns:
@@ -46,47 +56,69 @@ def storage_cast(df: DataFrame, table: Table) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, table: Table | None = None, allow_empty: bool = False) -> int:
-    """Replace the table at `path` and return its row count, read back from what was stored.
+    """Replace the table at `path` by a new version and return its row count, read back from what was stored.
 
-    The new table is written beside the old one and counted there, so an empty result, or a job
-    that fails, leaves the old table as it is. Rewriting gives the same table, so a failed run is
-    simply run again.
+    An empty result, or a job that fails at any step, leaves the old version as it is. Rewriting gives
+    the same table, so a failed run is simply run again.
     """
-    spark = df.sparkSession
     ready = storage_cast(conform(df, table), table) if table else df
-    aside, old = f"{path}__new", f"{path}__old"
-    ready.write.mode("overwrite").parquet(aside)
-    stored = spark.read.parquet(aside).count()
-    if stored == 0 and not allow_empty:
-        _remove(spark, aside)
+    version = write_version(ready, path, least_rows=0 if allow_empty else 1)
+    if version is None:
         raise EmptyResult(f"no rows for {path}")
-    _remove(spark, old)
-    _move(spark, path, old)
-    _move(spark, aside, path)
-    _remove(spark, old)
-    return stored
-
+    return version.rows
 
-def _hadoop(spark: SparkSession, path: str):
-    """The path and its file system, as Hadoop objects."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
+def append_table(df: DataFrame, path: str) -> int:
+    """Add rows, in whatever layout they have, and return the row count of the new version."""
+    return write_version(df, path, append=True).rows
 
-def _remove(spark: SparkSession, path: str) -> None:
-    where, files = _hadoop(spark, path)
-    files.delete(where, True)
 
+def read_table(spark: SparkSession, path: str, table: Table | None = None) -> DataFrame:
+    """The current version of a table, or a plain Parquet folder. Parts in older layouts are brought to the
+    declared one, if it is given, else to one that has the columns of all."""
+    version = current(spark, path)
+    if version is None:
+        return spark.read.parquet(path)
+    frames = read_parts(spark, path, version)
+    if table:
+        return reduce(DataFrame.unionByName, [storage_cast(conform(f, table), table) for f in frames])
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
-def _move(spark: SparkSession, path: str, to: str) -> None:
-    """Rename a folder, if it is there."""
-    where, files = _hadoop(spark, path)
-    if files.exists(where) and not files.rename(where, _hadoop(spark, to)[0]):
-        raise OSError(f"cannot move {path} to {to}")
 
+def read_mixed(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """A folder of Parquet files, some of them in older layouts, as one frame of the declared layout.
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    Files are taken in the order of their age. Those whose types agree are read by one scan; where types
+    changed in between, a stretch of files is halved until the types of each half agree, so there are about
+    as many scans as there were changes.
+    """
+    where, files = hadoop(spark, path)
+    found = sorted((f.getModificationTime(), f.getPath().toString()) for f in files.listStatus(where)
+                   if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+
+    def frames(part: list[str]) -> list[DataFrame]:
+        try:
+            return [_one_scan(spark, part, table)]
+        except (PySparkException, Py4JJavaError) as error:
+            # PySpark hands the failed merge of schemas on as it came from Java.
+            if len(part) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+                raise
+        half = len(part) // 2
+        return frames(part[:half]) + frames(part[half:])
+    stretches = frames([name for _, name in found])
+    return reduce(DataFrame.unionByName, [storage_cast(conform(f, table), table) for f in stretches])
+
+
+def _one_scan(spark: SparkSession, files: list[str], table: Table) -> DataFrame:
+    """Files whose layouts differ in names only: a file has a renamed column under one of its two names."""
+    df = spark.read.option("mergeSchema", True).parquet(*files)
+    for column in table.columns:
+        if column.formerly in df.columns and column.name in df.columns:
+            new, old = F.col(column.name), F.col(column.formerly)
+            twice = F.raise_error(F.lit(f"{table.name}: a row has both {column.name} and {column.formerly}"))
+            value = F.when(new.isNotNull() & old.isNotNull(), twice).otherwise(F.coalesce(new, old))
+            df = df.withColumn(column.name, value).drop(column.formerly)
+    return df
 
 
 def first_rows(df: DataFrame, n: int = 1000) -> DataFrame:
@@ -94,9 +126,16 @@ def first_rows(df: DataFrame, n: int = 1000) -> DataFrame:
     return df.limit(n)
 
 
+def sample_rows(df: DataFrame, key: str, n: int = 1000, salt: str = "") -> DataFrame:
+    """n rows that depend on their keys alone, not on files, partitions or runs: those of the least digests of
+    key and salt. Each task keeps its n least; rows of one key are taken in the order of their values."""
+    digest = F.md5(F.concat(F.lit(salt), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    return df.orderBy(digest, *df.columns).limit(n)
+
+
 def table_columns(spark: SparkSession, path: str) -> list[str]:
     """Ordered column names of a stored table."""
-    columns = spark.read.parquet(path).columns
+    columns = read_table(spark, path).columns
     if not columns:
         raise KeyError(f"no columns found at {path}")
     return columns
@@ -110,25 +149,38 @@ def verify_count(source: DataFrame, stored: DataFrame) -> int:
     return found
 
 
+def verify_rows(source: DataFrame, stored: DataFrame) -> int:
+    """Row count of both frames, which must hold the same rows in any order; one pass each."""
+    columns = source.columns
+    expected, found = fingerprint(source, columns), fingerprint(stored, columns)
+    if expected[0] != found[0]:
+        raise CountMismatch(f"{found[0]} rows stored, {expected[0]} in the source")
+    if expected != found:
+        raise RowMismatch(f"the {found[0]} rows stored are not those of the source")
+    return found[0]
+
+
 def declare_table(spark: SparkSession, database: str, table: Table, recreate: bool = False) -> None:
     """Create a catalogue table with column descriptions if it is absent, or anew on request."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     name = f"`{database}`.`{table.name}`"
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    columns = ", ".join(
-        f"`{c.name}` {c.type.simpleString()}"
-        + (" NOT NULL" if c.required else "")
-        + (" COMMENT '" + c.comment.replace("'", "\\'") + "'" if c.comment else "")
-        for c in table.columns
-    )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    create_declared(spark, name, table)
+
+
+def create_declared(spark: SparkSession, name: str, table: Table, location: str | None = None) -> None:
+    def one(c) -> str:
+        comment = c.comment.replace("\\", "\\\\").replace("'", "\\'")
+        return f"`{c.name}` {c.type.simpleString()}" + (" NOT NULL" if c.required else "") + (f" COMMENT '{comment}'" if comment else "")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(map(one, table.columns))}) USING parquet"
+              + (f" LOCATION '{location}'" if location else ""))
 
 
 def publications(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """Number and path of every complete publication, oldest first. A pointer whose write broke off
     has no success mark and counts for nothing."""
-    where, files = _hadoop(spark, f"{root}/_published")
+    where, files = hadoop(spark, f"{root}/_published")
     if not files.exists(where):
         return []
     found = [s.getPath() for s in files.listStatus(where)]

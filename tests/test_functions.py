@@ -140,6 +140,9 @@ FORMS = [
     "\n[{'iso': 'US'}]", "[{'iso': 'US', 'iso': 'FR'}]", "[{\"iso\": \"US\"}]", "[{'a': \"'iso': 'XX'\", 'iso': 'US'}]", "[{'a': ', ', 'iso': 'US'}]",
     "[{'iso' : 'US' ,}]", "[{'iso': 'US', 'n': 007}]", "[{'iso': 'US', 'n': -3}]", "[{'iso': 'US', 'n': 1e5}]", "[{'iso': ''}]", "[{}]", "[{'iso': 'US'} {'iso': 'FR'}]",
     "[{'iso': 'US', **{}}]", "[dict(iso='US')]", "[{'iso': 'U{S}'}]", "[{'iso': 'US', 'x': 'a\nb'}]", "[{'iso': 'US'}, None]", "[ ]", "[,]", "[{'iso': 'é', 'n': None}]",
+    "[{'name': 'It\\'s', 'iso': 'US'}]", "[{'n': 'a\\', \\'iso\\': \\'XX', 'iso': 'US'}]", "[{'n': \"x\\\"'iso': 'XX'\", 'iso': 'US'}]",
+    "[{'n': \", \\'iso': 'XX'\", 'iso': 'US'}]", "[{'n': 'bad \\x4', 'iso': 'US'}]", "[{'n': '\\u00e9\\t', 'iso': 'US'}]", "[{'n': 'end\\\\', 'iso': 'US'}]",
+    "[{'iso': 'US', 'is\\x6f': 'FR'}]", "[{'n': '\\N{BULLET}', 'iso': 'US'}]", "[{'n': 'open\\', 'iso': 'US'}]", "[{'n': 'a\\'b' 'c', 'iso': 'US'}]",
     "[{'iso': 'US', 'm': {'iso': 'FR'}}]", "[{'iso': f'US'}]", "\t[{'iso': 'US'}]\n", "[{'iso': 'US', 'k': 1j}]",
 ]
 
@@ -160,3 +163,12 @@ def test_literal_forms(spark):
     expected = [read(raw) for raw in FORMS]
     for build, at in ((collections.literal_codes, 0), (collections.literal_fault, 1), (collections.literal_broken, 2)):
         assert apply(spark, lambda c, f=build: f(c, "iso"), FORMS) == [e[at] for e in expected], build.__name__
+
+
+def test_escaped_texts_need_no_python(spark):
+    """Lists as Python prints them match the one pattern, also with escapes and very long texts."""
+    long = "It's \"x\" \\\\ and " * 20_000
+    lists = [repr([{"iso": "US", "name": n}, {"name": n, "iso": "FR"}]) for n in ("it's", "it's \"x\"", "tab\t\\", "\x01é", long)]
+    pattern = collections._plain_list("iso")
+    assert apply(spark, lambda c: c.rlike(pattern), lists) == [True] * len(lists)
+    assert apply(spark, lambda c: collections.literal_codes(c, "iso"), lists) == [["US", "FR"]] * len(lists)

@@ -158,3 +158,39 @@ def check_report(spark, sf_dir):
            min(release_year) AS min_year, max(release_year) AS max_year FROM scope"""))
 def scope_summary(spark, sf_dir):
     return summarise(standin.scope(spark, sf_dir), "release_year", 2000)
+
+
+_SEEDED = " UNION ALL ".join([
+    _row("budget_tier_coverage", "count(*)", "FROM scope WHERE movie_id % 7 = 0"),
+    _row("fact_counts_not_negative", "count(*)", "FROM scope WHERE movie_id % 12 IN (0, 1, 2, 3)"),
+    _row("scope_years", "count(*)", "FROM scope WHERE movie_id % 9 IN (1, 2)"),
+    _row("restricted_have_region", "count(DISTINCT (iso_country_code, movie_id % 5))",
+         "FROM countries WHERE iso_country_code <> 'N24' AND is_service_restricted AND movie_id % 5 IN (2, 3)"),
+    _row("yearly_delta", "count(*)", "FROM (SELECT DISTINCT release_year FROM scope) WHERE release_year > 1996 AND release_year % 2 = 0"),
+])
+
+
+@query(using("scope", "countries", body=_SEEDED))
+def seeded_violations(spark, sf_dir):
+    """Every rule of the star schema over rows of which a part was damaged by rule."""
+    scope, key = standin.scope(spark, sf_dir), F.col("movie_id")
+    tiers = gold.movie_financials(scope).withColumn("budget_tier", F.when(key % 7 != 0, F.col("budget_tier")))
+    counts = ("genre_count", "company_count", "country_count", "language_count")
+    fact = standin.fact(spark, sf_dir)
+    for i, name in enumerate(counts):
+        fact = fact.withColumn(name, F.when(key % 12 == i, F.lit(-1)).otherwise(F.col(name)))
+    years = scope.withColumn("release_year", F.when(key % 9 == 1, 1995).when(key % 9 == 2, 2001).otherwise(F.col("release_year")))
+    # Each country counts five times, and two of the five lack one part of their region.
+    fifth = standin.countries(spark, sf_dir).where("iso_country_code <> 'N24'").withColumn("fifth", key % 5)
+    fifth = fifth.withColumn("iso_country_code", F.concat("iso_country_code", F.lit("/"), "fifth")).withColumn(
+        "country_region", F.when(F.col("fifth") != 2, F.col("country_region"))).withColumn(
+        "country_subregion", F.when(F.col("fifth") != 3, F.col("country_subregion")))
+    trends = gold.yearly_trends_from(gold.yearly_aggregates(scope)).withColumn("yoy_movie_count_delta", F.col("yoy_movie_count_delta") + F.when(
+        F.col("release_year") % 2 == 0, 1).otherwise(0))
+    return checks.report([
+        checks.expect_none("budget_tier_coverage", quality.untiered(tiers)),
+        checks.expect_none("fact_counts_not_negative", quality.negative_counts(fact)),
+        checks.expect_none("scope_years", quality.years_outside(years, range(1996, 2001))),
+        checks.expect_none("restricted_have_region", quality.restricted_without_region(gold.mart_country_summary(fifth))),
+        checks.expect_none("yearly_delta", quality.wrong_deltas(trends)),
+    ])
