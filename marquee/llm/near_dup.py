@@ -264,7 +264,9 @@ class _Search:
 
     def _by_prefix(self, open_rows: DataFrame) -> DataFrame:
         """All pairs of different components that can reach the threshold, among the members of large
-        buckets; a pair that shares no rare element is never made."""
+        buckets; a pair that shares no rare element is never made. Elements that one component alone holds
+        come first in the order of all elements and are dropped from the prefixes: two members of different
+        components never meet in them, and two of one component need not."""
         held = open_rows.where(F.col("size") > DIRECT).select("class", "n", "root").distinct()
         held = self.scratch.keep(held.join(self.classes.select(
             "class", F.col("text.doc_id").alias("i"), F.col("text.text_hash").alias("h")), "class"), "large")
@@ -272,14 +274,14 @@ class _Search:
         texts = self.docs.join(bounded_side(self.scratch, held, "large"), same).select("class", "n", "root", "text")
         sets = texts.mapInArrow(_sets, "class binary, n long, root binary, elements array<long>").dropDuplicates(["class"])
         rows = self.scratch.keep(sets.select("class", "n", "root", F.explode("elements").alias("element")), "elements")
-        often = rows.groupBy("element").agg(F.count("*").alias("f"))
+        often = rows.groupBy("element").agg(F.count("*").alias("f"), (F.min("root") != F.max("root")).alias("between"))
         ordered = rows.join(often, "element").groupBy("class", "n", "root").agg(
-            F.sort_array(F.collect_list(F.struct("f", "element"))).alias("elements"))
+            F.sort_array(F.collect_list(F.struct("between", "f", "element"))).alias("elements"))
         # Shares of the set that a partner of any size, or of at least this size, must have.
         t = self.threshold
         prefix = (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")
         rows = self.scratch.keep(ordered.select(
-            "class", "n", "root", F.posexplode(F.slice("elements", F.lit(1), prefix)).alias("at", "e")).where("e.f > 1").select(
+            "class", "n", "root", F.posexplode(F.slice("elements", F.lit(1), prefix)).alias("at", "e")).where("e.between").select(
             "class", "n", "root", "at", "e.element"), "prefixes")
         long = rows.select("element", F.col("class").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"), F.col("at").alias("at2"))
         short = rows.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * 2 * t / (100 + t)))

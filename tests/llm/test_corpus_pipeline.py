@@ -19,8 +19,10 @@ def documents():
     rows.append((41, rows[5][1].replace(".", ". extra", 1), "en", "src0"))
     rows.append((42, "too short", "en", "src1"))
     rows.append((43, "\n".join(" | ".join(line(1) for _ in range(9)) for _ in range(20)), "en", "src1"))
-    rows.append((44, rows[7][1].replace("\n", f"\npassword = {SECRET} is a secret line here.\n", 1), "en", "src2"))
+    rows.append((44, rows[7][1].replace("\n", f"\n{line(12)}\npassword = {SECRET} is a secret line here.\n{line(12)}\n", 1), "en", "src2"))
     rows.append((45, None, None, None))
+    near = rows[9][1].split(" ")  # two changed words of 96: a similarity of 80.4 %
+    rows.append((48, " ".join(f"other{i}" if i in (20, 60) else w for i, w in enumerate(near)), "en", "src5"))
     leak = line(12) + " " + line(8)
     rows.append((46, "\n".join(line(12) for _ in range(8)) + "\n" + leak, "en", "src3"))
     rows.append((47, "\n".join(line(12) for _ in range(8)) + f"\nThe token: {SECRET}aa is in this one line.", "fr", "src4"))
@@ -41,9 +43,9 @@ def test_stages_take_effect(spark, tmp_path):
         frame = spark.read.parquet(str(tmp_path / name))
         texts = {r.doc_id: r.text for r in frame.collect()}
         kept.append(set(texts))
-    everything = set(range(48))
+    everything = set(range(49))
     assert everything - kept[0] == {42, 43, 45}
-    assert kept[0] - kept[1] == {40, 41}
+    assert kept[0] - kept[1] == {40, 41, 48}
     assert kept[1] - kept[2] == {46}
     assert kept[3] == kept[2]
     for i in (44, 47):
