@@ -26,6 +26,55 @@ def test_odd_pages(page):
     h.best_container(h.blocks(page))
 
 
+def main(page):
+    found = h.blocks(page)
+    best = h.best_container(found)
+    return h.extract(found, best[0]) if best else ""
+
+
+@pytest.mark.parametrize("open_, close", [
+    ("<div class='layout has-sidebar'><article>", "</article></div>"), ("<div id='page' class='site no-comments'><article>", "</article></div>"),
+    ("<div class='post-side'>", "</div>"), ("<div class='menu-page'><main>", "</main></div>"), ("<div class='notice'>", "</div>"),
+    ("<section class='comments'>", "</section>"), ("<div class='outer'><div class='inner-sidebar'>", "</div></div>"),
+])
+def test_names_do_not_hide_the_article(open_, close):
+    body = f"<p>{TAIL}</p><p>{TAIL}</p>"
+    assert main(f"<html><body><nav>a, b.</nav>{open_}{body}{close}</body></html>") == f"{TAIL.strip()}\n{TAIL.strip()}"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-footer", "cookie-notice", "comments", "post-comments", "left sidebar", "comment-list", "nav-menu"])
+def test_names_hide_what_is_beside_the_text(name):
+    page = f"<body><div class='story'><p>{TAIL}</p><div class='{name}'><p>{TAIL * 4}</p></div></div><p>x</p></body>"
+    hidden = main(page.replace(TAIL * 4, TAIL[:40] + "."))
+    assert hidden == TAIL.strip()
+    # An article decides by itself, also when more text stands beside it.
+    assert main(page.replace("div class='story'", "article").replace("</div></div>", "</div></article>")) == TAIL.strip()
+
+
+def test_comments_as_articles_stay_hidden():
+    page = f"<body><article><p>{TAIL}</p></article><ol class='comment-list'><li><article class='comment'><p>{TAIL * 5}</p></article></li></ol></body>"
+    assert main(page) == TAIL.strip()
+
+
+def test_math_and_noscript_stay():
+    page = f"<article><p>{TAIL}<math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><noscript><p>A picture of it.</p></noscript></article>"
+    assert main(page) == f"{TAIL}x=2 holds.\nA picture of it."
+
+
+def test_deep_nesting_takes_linear_memory():
+    import tracemalloc
+    sizes = []
+    for depth in (10_000, 100_000):
+        page = "<div class='x'><p>t.</p>" * depth + f"<p>{TAIL}</p>" + "</b2>" * 1000
+        tracemalloc.start()
+        found = h.blocks(page)
+        best = h.best_container(found)
+        assert best[0].count(">") == depth and TAIL.strip() in h.extract(found, best[0])
+        sizes.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert sizes[1] < 15 * sizes[0] and sizes[1] < 300 << 20
+
+
 def test_consensus_of_the_host(spark):
     body = "<html><body><div class='story'><p>%s</p></div><div class='teasers'><p>%s</p></div></body></html>"
     usual = body % (TAIL * 3, "short.")
