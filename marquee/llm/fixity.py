@@ -7,8 +7,9 @@ that differ, down to the records. Payloads are never shuffled, only digests are,
 bounded number of records however many there are in all.
 
 Defined cases: a record that one replica lacks is missing or extra; a record stored twice at an offset
-is one, or a conflict if the copies differ; null payloads are empty; two empty replicas are equal;
-other columns are not read.
+is one, or a conflict if the copies differ, which is reported for either replica and whatever the other
+one holds; all different copies are sealed, in no order, so a third one does not go unseen; null payloads
+are empty; two empty replicas are equal; other columns are not read.
 """
 
 from __future__ import annotations
@@ -49,11 +50,16 @@ class Tree:
     """The levels of one replica: (id, hash) of each range; level 0 are the ranges of records."""
 
     def __init__(self, scratch: Scratch, replica: DataFrame, name: str, levels: int):
-        one = F.struct("length", "digest")
-        leaves = replica.groupBy("offset").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.min("record").alias("record"))
-        seal = F.sha2(F.concat_ws("|", "offset", "low.length", "low.digest", "high.length", "high.digest"), 256)
+        # Equal copies are one. The sums of four parts of their hashes stand for all copies of an offset, however
+        # many there are, without bringing them together.
+        copies = replica.groupBy("offset", "length", "digest").agg(F.min("record").alias("record")).withColumn(
+            "_hash", F.sha2(F.concat_ws("|", F.col("length"), F.coalesce("digest", F.lit("-"))), 256))
+        parts = [F.sum(F.conv(F.substring("_hash", 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias(f"_p{i}") for i in range(4)]
+        leaves = copies.groupBy("offset").agg(
+            F.count("*").alias("n"), F.min(F.struct("length", "digest")).alias("low"), F.min("record").alias("record"), *parts)
+        seal = F.sha2(F.concat_ws("|", "offset", "n", "low.length", F.coalesce("low.digest", F.lit("-")), *[f"_p{i}" for i in range(4)]), 256)
         self.leaves = scratch.keep(leaves.select(
-            "offset", "record", F.col("low.length").alias("length"), (F.col("low") != F.col("high")).alias("conflict"),
+            "offset", "record", F.col("low.length").alias("length"), (F.col("n") > 1).alias("conflict"),
             seal.alias("hash"), F.floor(F.col("offset") / RANGE_BYTES).alias("range")), f"{name}-leaves")
         self.levels, ids = [], ("range", "offset")
         below = self.leaves
@@ -82,10 +88,11 @@ def audit(scratch: Scratch, left: DataFrame, right: DataFrame) -> DataFrame:
         x, y = (s.select("id", F.col("hash").alias(h)) for s, h in zip(sides, ("x", "y")))
         apart = x.join(y, "id", "full").where(~F.col("x").eqNullSafe(F.col("y"))).select(F.col("id").alias("up"))
         differing = bounded_side(scratch, scratch.keep(apart, f"apart{level}"), f"apart{level}")
-    wanted = differing.withColumnRenamed("up", "range")
-    x, y = (t.leaves.join(wanted, "range", "left_semi").select(
+    wanted = differing.select(F.col("up").alias("range"), F.lit(True).alias("wanted"))
+    # Below ranges that differ, and wherever the copies of one replica conflict.
+    x, y = (t.leaves.join(wanted, "range", "left").where("wanted OR conflict").select(
         "offset", *[F.col(c).alias(f"{c}{n}") for c in ("record", "length", "hash", "conflict")]) for t, n in ((a, 1), (b, 2)))
-    both = x.join(y, "offset", "full").where(~F.col("hash1").eqNullSafe(F.col("hash2")) | F.col("conflict1"))
+    both = x.join(y, "offset", "full").where(~F.col("hash1").eqNullSafe(F.col("hash2")) | F.col("conflict1") | F.col("conflict2"))
     fault = (F.when(F.col("hash2").isNull(), "missing").when(F.col("hash1").isNull(), "extra")
              .when(F.col("conflict1") | F.col("conflict2"), "conflict").otherwise("changed"))
     return both.select(F.coalesce("record1", "record2").alias("record"), "offset", F.coalesce("length1", "length2").alias("length"), fault.alias("fault"))

@@ -52,3 +52,29 @@ def test_null_pages(spark):
     pages = spark.createDataFrame([(13, None, None, 1), (None, "u", "x", 2), (13, None, None, 1)], "page_id long, url string, html string, offset int")
     assert {(r.page_id, r.fault) for r in f.pages_audit(pages).collect()} == {(13, "changed")}
     assert f.pages_audit(pages.limit(0)).count() == 0
+
+
+def faults(spark, left, right):
+    a, b = (spark.createDataFrame(x, SCHEMA) for x in (left, right))
+    return sorted((r.offset, r.fault) for r in f.audit(Scratch(spark), a, b).collect())
+
+
+def test_conflicts_do_not_depend_on_neighbours(spark):
+    rows = [(i, i * 10, 10, f"d{i}") for i in range(5)]
+    twice = rows + [(2, 20, 10, "other")]
+    assert faults(spark, twice, twice) == [(20, "conflict")]
+    changed = [r if r[0] != 4 else (4, 40, 10, "bad") for r in twice]
+    assert faults(spark, twice, changed) == [(20, "conflict"), (40, "changed")]
+    assert faults(spark, rows, twice) == faults(spark, twice, rows) == [(20, "conflict")]
+
+
+def test_every_copy_of_an_offset_is_sealed(spark):
+    def copies(*digests):
+        return [(1, 0, 5, d) for d in digests]
+    assert faults(spark, copies("a"), copies("a", "a", "a")) == []
+    assert faults(spark, copies("a", "b", "c"), copies("a", "c")) == [(0, "conflict")]
+    scratch = Scratch(spark)
+    seals = {f.Tree(scratch, spark.createDataFrame(copies(*d), SCHEMA), "t" + "".join(d), 1).levels[0].first()["hash"]
+             for d in (("a", "b", "c"), ("a", "c"), ("a", "d", "c"), ("a", "b", "b", "c"))}
+    assert len(seals) == 3  # copies that are equal count once
+    assert faults(spark, [(1, 0, 5, None)], [(1, 0, 5, "a")]) == [(0, "changed")]
