@@ -31,6 +31,8 @@ FIT_ROWS = 8192
 MIN_DOCUMENTS = 3
 STEPS = 120
 PENALTY = 1e-4
+#: The weight of a rated row is the share of its grade to this power, turned round: 0 none, 1 all grades alike.
+BALANCE = 0.25
 MIN_TAIL = 0.5
 REMEMBERED = 500_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -84,33 +86,55 @@ class Model:
         return 1 - _sigmoid(self.thresholds[None, :] - np.asarray(scores)[:, None])
 
 
+def ordered(free: np.ndarray) -> np.ndarray:
+    """Thresholds from free numbers: the first, and the logarithms of the gaps after it."""
+    return np.cumsum(np.append(free[0], np.exp(free[1:])))
+
+
+class Likelihood:
+    """The penalised negative log-likelihood of rated rows, given as (row, bucket, value) entries. `shares` are
+    the weights of the rows, 1 on average."""
+
+    def __init__(self, row: np.ndarray, at: np.ndarray, x: np.ndarray, grades: np.ndarray, shares: np.ndarray):
+        self.row, self.at, self.x, self.grades, self.shares = row, at, x, grades, shares
+
+    def of(self, weights: np.ndarray, free: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Its value and its derivatives by the weights and by the free numbers."""
+        n, every, grades = len(self.grades), np.arange(len(self.grades)), self.grades
+        score = np.bincount(self.row, weights[self.at] * self.x, n)
+        below = _sigmoid(ordered(free)[:, None] - score)
+        slope = below * (1 - below)
+        edges = np.vstack([np.zeros(n), below, np.ones(n)])
+        slopes = np.vstack([np.zeros(n), slope, np.zeros(n)])
+        p = np.maximum(edges[grades + 1, every] - edges[grades, every], 1e-12)
+        by_score = self.shares * (slopes[grades, every] - slopes[grades + 1, every]) / p
+        by_threshold = np.array([(self.shares * ((grades == k) * slope[k] - (grades == k + 1) * slope[k]) / p) for k in range(GRADES - 1)]).mean(axis=1)
+        by_free = np.cumsum(by_threshold[::-1])[::-1] * np.append(1.0, np.exp(free[1:]))
+        value = PENALTY / 2 * float((weights.astype(np.float64) ** 2).sum()) - float((self.shares * np.log(p)).mean())
+        return value, PENALTY * weights - np.bincount(self.at, by_score[self.row] * self.x, len(weights)).astype(weights.dtype) / n, -by_free
+
+
+def balanced(grades: np.ndarray, power: float = BALANCE) -> np.ndarray:
+    """Weights of rows, 1 on average: the rarer its grade, the more a row counts."""
+    often = np.bincount(grades, minlength=GRADES)
+    weight = (len(grades) / np.maximum(often, 1)) ** power
+    return weight[grades] / weight[grades].mean()
+
+
 def fit(buckets: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray) -> Model:
     """Penalised maximum likelihood by adaptive gradient steps; the gaps between thresholds are
     exponentials, so they stay ordered."""
     size, n = 1 << BITS, len(grades)
     weights, free = np.zeros(size, np.float32), np.append(-2.0, np.zeros(GRADES - 2))
-
-    def thresholds():
-        return np.cumsum(np.append(free[0], np.exp(free[1:])))
     if not n:
-        return Model(weights, thresholds())
+        return Model(weights, ordered(free))
     row = np.repeat(np.arange(n, dtype=np.int32), [len(b) for b in buckets])
     at, x = np.concatenate(buckets), np.concatenate(values)
     use = np.bincount(at, minlength=size)[at] >= MIN_DOCUMENTS
-    row, at, x = row[use], at[use], x[use]
+    likelihood = Likelihood(row[use], at[use], x[use], grades, balanced(grades))
     moments = [np.zeros(size, np.float32), np.zeros(size, np.float32), np.zeros(GRADES - 1), np.zeros(GRADES - 1)]
     for step in range(1, STEPS + 1):
-        score = np.bincount(row, weights[at] * x, n)
-        below = _sigmoid(thresholds()[:, None] - score)
-        slope = below * (1 - below)
-        edges = np.vstack([np.zeros(n), below, np.ones(n)])
-        slopes = np.vstack([np.zeros(n), slope, np.zeros(n)])
-        every = np.arange(n)
-        p = np.maximum(edges[grades + 1, every] - edges[grades, every], 1e-12)
-        by_score = (slopes[grades, every] - slopes[grades + 1, every]) / p
-        by_threshold = np.array([((grades == k) * slope[k] - (grades == k + 1) * slope[k]) / p for k in range(GRADES - 1)]).mean(axis=1)
-        by_free = np.cumsum(by_threshold[::-1])[::-1] * np.append(1.0, np.exp(free[1:]))
-        gradients = (PENALTY * weights - np.bincount(at, by_score[row] * x, size).astype(np.float32) / n, -by_free)
+        gradients = likelihood.of(weights, free)[1:]
         for k, (gradient, rate) in enumerate(zip(gradients, (0.3 if step < STEPS // 2 else 0.1, 0.1))):
             moments[2 * k] = 0.9 * moments[2 * k] + 0.1 * gradient
             moments[2 * k + 1] = 0.99 * moments[2 * k + 1] + 0.01 * gradient ** 2
@@ -119,7 +143,7 @@ def fit(buckets: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray)
                 free = free - move
             else:
                 weights = (weights - move).astype(np.float32)
-    return Model(weights, thresholds())
+    return Model(weights, ordered(free))
 
 
 def _vectors(batches):
