@@ -5,15 +5,16 @@ protected entity. What stands in a document with an entity may identify it as we
 these documents, co-occurrence over the whole corpus tells how much of the entity's information
 I(e) = -log2 p(e) a reader of the term gains, PMI(t, e) = log2 p(t, e) / (p(t) p(e)). The share
 PMI / I is the disclosure, 1 for a term that occurs with this entity alone. Terms above the upper
-threshold are removed, those above the lower one generalised, wherever they stand in a document that
-holds the entity. All frequencies are numbers of distinct documents, of all documents. As a term stands
+threshold are removed, those above the lower one generalised, wherever they stand in any document: a
+reader of the term alone learns the entity. All frequencies are numbers of distinct texts, of all
+texts, so copies of one text are one piece of evidence however many there are. As a term stands
 with an entity at most as often as the entity occurs, terms that are too frequent to disclose any are
 left out before terms and entities are paired; this changes no result.
 
-Defined cases: a null text is empty; a term needs to stand with its entity in two documents; terms
-inside base matches are none; repeated rows give repeated results and count once; a null id is an id
-like any other; an empty table gives an empty result. Other columns, also ones named like a result,
-are not read.
+Defined cases: a null text is empty; a term needs to stand with its entity in MIN_DOCUMENTS distinct
+texts, as fewer may be coincidence, so an entity of fewer texts gives no evidence and only its own
+matches are spans; terms inside base matches are none; repeated rows and copies give repeated results;
+an empty table gives an empty result. Other columns, also ones named like a result, are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ TERM = r"\p{L}{3,}"
 #: match touches.
 MARK = "\x01"
 FREE_TERM = rf"(?<![\p{{L}}{MARK}])\p{{L}}{{3,}}+(?!{MARK})"
-MIN_DOCUMENTS = 2
+#: So many distinct texts must hold an entity and a term before the term can disclose it.
+MIN_DOCUMENTS = 3
 REMOVE, GENERALISE = 0.9, 0.75
 
 PLACES = "array<struct<kind:int,start:int,end:int>>"
@@ -151,7 +153,8 @@ def _joined(spans: Column) -> Column:
 
 
 def _key() -> dict[str, Column]:
-    return {"_id": F.to_json(F.struct(F.col("doc_id").alias("i"))), "_hash": F.xxhash64(F.col("text").cast("string"))}
+    """What names a text: equal texts are one."""
+    return {"_hash": F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))}
 
 
 class _Search:
@@ -167,30 +170,30 @@ class _Search:
         found = found.select("doc_id", *_key(), "_text", spans.alias("base")).withColumn(
             "_free", F.when(F.size("base") > 0, _marked(F.col("_text"), F.col("base"))))
         self.base = self.scratch.keep(found.select(
-            "doc_id", "_id", "_hash", "base", F.array_distinct(_hashes(F.col("_free"), FREE_TERM)).alias("free")), "base")
+            "doc_id", "_hash", "base", F.array_distinct(_hashes(F.col("_free"), FREE_TERM)).alias("free")), "base")
 
     def count_documents(self) -> None:
-        """The number of distinct documents, and the copies of repeated ones."""
-        self.copies = self.scratch.keep(self.base.groupBy("_id", "_hash").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+        """The number of distinct texts, and the copies of repeated ones."""
+        self.copies = self.scratch.keep(self.base.groupBy("_hash").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
         self.repeated = self.copies.agg(F.sum(F.col("copies") - 1)).first()[0] or 0
         self.total = self.base.count() - self.repeated
 
     def counted_terms(self) -> DataFrame:
-        """term, n_term: the number of distinct documents of each term."""
+        """term, n_term: the number of distinct texts of each term."""
         rows = self.rows.withColumn("weight", F.lit(1))
         if self.repeated:
-            rows = self.rows.join(bounded_side(self.scratch, self.copies, "copies"), ["_id", "_hash"], "left").withColumn(
+            # A hot text stands on the left side, which adaptive execution splits.
+            rows = self.rows.join(bounded_side(self.scratch, self.copies, "copies"), "_hash", "left").withColumn(
                 "weight", 1 / F.coalesce("copies", F.lit(1)))
         terms = rows.select("weight", F.explode(F.array_distinct(_hashes(F.col("_text"), TERM))).alias("term"))
         return terms.groupBy("term").agg(F.round(F.sum("weight")).cast("long").alias("n_term"))
 
     def together(self) -> DataFrame:
-        """_id, _hash, term, n_term, entity, n_entity: terms and entities of a document, but for terms
-        that are too frequent to disclose the entity."""
+        """_hash, term, n_term, entity, n_entity: terms and entities of a text, but for terms that are too
+        frequent to disclose the entity."""
         n = F.lit(max(self.total, 1))
-        held = self.scratch.keep(self.base.where(F.size("base") > 0).dropDuplicates(["_id", "_hash"]).select(
-            "_id", "_hash", "base", "free"), "held")
-        entities = held.select("_id", "_hash", F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity"))
+        held = self.scratch.keep(self.base.where(F.size("base") > 0).dropDuplicates(["_hash"]).select("_hash", "base", "free"), "held")
+        entities = held.select("_hash", F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity"))
         often = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(
             (F.col("n_entity") >= MIN_DOCUMENTS) & (F.col("n_entity") < n))
         # From PMI >= GENERALISE * I with a co-occurrence of n_entity; the margin is for rounding.
@@ -200,39 +203,39 @@ class _Search:
         entities = self.scratch.keep(entities.join(bounded_side(self.scratch, often, "often"), "entity"), "entities")
         counted = self.counted_terms().where((F.col("n_term") >= MIN_DOCUMENTS) & (F.col("n_term") <= F.lit(most)))
         counted = self.scratch.keep(counted, "counted")
-        terms = held.select("_id", "_hash", F.explode("free").alias("term")).join(bounded_side(self.scratch, counted, "counted"), "term")
-        pairs = terms.join(entities, ["_id", "_hash"]).where(F.col("n_term") <= F.col("most"))
+        terms = held.select("_hash", F.explode("free").alias("term")).join(bounded_side(self.scratch, counted, "counted"), "term")
         self.held = held
-        return pairs.select("_id", "_hash", "term", "n_term", "entity", "n_entity")
+        return terms.join(entities, "_hash").where(F.col("n_term") <= F.col("most")).select("_hash", "term", "n_term", "entity", "n_entity")
 
-    def disclosing(self) -> tuple[DataFrame, DataFrame]:
-        """The terms and entities of each document, and term, entity, disclosure of those that disclose."""
+    def disclosing(self) -> DataFrame:
+        """term, entity, disclosure of those that disclose."""
         self.count_documents()
-        near = self.scratch.keep(self.together(), "near")
         n = F.lit(max(self.total, 1))
-        pairs = near.groupBy("term", "entity", "n_term", "n_entity").agg(F.count("*").alias("both")).where(F.col("both") >= MIN_DOCUMENTS)
+        pairs = self.together().groupBy("term", "entity", "n_term", "n_entity").agg(F.count("*").alias("both")).where(
+            F.col("both") >= MIN_DOCUMENTS)
         gain = F.log2(F.col("both") * n / (F.col("n_term") * F.col("n_entity")))
         told = pairs.withColumn("disclosure", gain / F.log2(n / F.col("n_entity"))).where(F.col("disclosure") >= GENERALISE)
-        return near, self.scratch.keep(told.select("term", "entity", "disclosure"), "told")
+        return self.scratch.keep(told.select("term", "entity", "disclosure"), "told")
 
     def term_spans(self) -> DataFrame:
-        """_id, _hash, terms: the places to remove or generalise of each document that has any."""
-        near, told = self.disclosing()
-        # A hot pair stands on the left side, which adaptive execution splits.
-        hit = near.join(bounded_side(self.scratch, told, "told"), ["term", "entity"]).groupBy("_id", "_hash", "term").agg(
-            F.max("disclosure").alias("d"))
-        kind = F.when(F.col("d") >= REMOVE, KINDS.index("removed")).otherwise(KINDS.index("general"))
-        hit = hit.groupBy("_id", "_hash").agg(F.collect_list(F.struct("term", kind.alias("kind"))).alias("hits"))
-        own = self.held.select("_id", "_hash", F.transform("base", lambda b: F.struct(b["start"], b["end"])).alias("own"))
-        hit = self.scratch.keep(own.join(hit, ["_id", "_hash"]), "hits")
-        rows = self.rows.join(bounded_side(self.scratch, hit, "hits"), ["_id", "_hash"]).select(
-            "_id", "_hash", "own", F.map_from_entries("hits").alias("kinds"),
+        """_hash, terms: the places to remove or generalise of each text that has any."""
+        told = self.disclosing().groupBy("term").agg(F.max("disclosure").alias("d")).select(
+            "term", F.when(F.col("d") >= REMOVE, KINDS.index("removed")).otherwise(KINDS.index("general")).alias("kind"))
+        told = self.scratch.keep(told, "terms-told")
+        # Terms that disclose are rare; every text is searched for them.
+        hit = self.rows.select("_hash", F.explode(F.array_distinct(_hashes(F.col("_text"), TERM))).alias("term")).join(
+            bounded_side(self.scratch, told, "terms-told"), "term").distinct()
+        hit = hit.groupBy("_hash").agg(F.collect_list(F.struct("term", "kind")).alias("hits"))
+        own = self.held.select("_hash", F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))).alias("own"))
+        hit = self.scratch.keep(hit.join(own, "_hash", "left"), "hits")
+        rows = self.rows.join(bounded_side(self.scratch, hit, "hits"), "_hash").select(
+            "_hash", F.coalesce("own", F.array().cast("array<struct<start:int,end:int>>")).alias("own"), F.map_from_entries("hits").alias("kinds"),
             F.regexp_extract_all("_text", F.lit(TERM), F.lit(0)).alias("m"), F.split("_text", TERM, -1).alias("g"))
         rows = rows.withColumn("k", F.transform(_lowered("m"), lambda t: F.try_element_at("kinds", t)))
-        rows = rows.select("_id", "_hash", "own", _kind_places("m", "g", "k").alias("p"))
+        rows = rows.select("_hash", "own", _kind_places("m", "g", "k").alias("p"))
         free = F.filter("p", lambda p: ~F.exists("own", lambda o: (o["start"] < p["end"]) & (p["start"] < o["end"])))
-        places = rows.select("_id", "_hash", F.sort_array(free).alias("terms"))
-        return self.scratch.keep(places.dropDuplicates(["_id", "_hash"]), "terms")
+        places = rows.select("_hash", F.sort_array(free).alias("terms"))
+        return self.scratch.keep(places.dropDuplicates(["_hash"]), "terms")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -64,7 +64,9 @@ def test_disclosing_terms(spark):
     rows += [(2000 + i, f"we saw Zorblax once {rng.choice(common)}") for i in range(1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in p.report(docs).collect()}
-    assert got[1000].n_email == 1 and got[1000].n_removed >= 2 and got[2000].n_removed == 0
+    assert got[1000].n_email == 1 and got[1000].n_removed >= 2
+    # The name alone gives the address away, also where the address does not stand.
+    assert got[2000].n_removed == 1 and f"removed:7:14" in got[2000].spans
     assert all(got[i].n_removed + got[i].n_general == 0 for i in range(200))
     text = dict(rows)[1000]
     at = text.index("engineer")
@@ -131,17 +133,46 @@ def test_disclosure_equals_counting(spark):
         own = [i for i in entities if e in entities[i]]
         for t in set().union(*[terms[i] for i in own]):
             n_term, both = sum(t in s for s in terms.values()), sum(t in terms[i] for i in own)
-            if both >= 2:
+            if both >= p.MIN_DOCUMENTS:
                 share = math.log2(both * len(rows) / (n_term * len(own))) / math.log2(len(rows) / len(own))
                 assert abs(share - p.REMOVE) > 1e-9 and abs(share - p.GENERALISE) > 1e-9
                 if share >= p.GENERALISE:
                     expected += 1
-                    for i in own:
+                    for i in terms:
                         if t in terms[i]:
                             marked[i][t] = max(share, marked[i].get(t, 0))
-    assert p._Search(docs).disclosing()[1].count() == expected > 20
+    assert p._Search(docs).disclosing().count() == expected > 10
     for r in p.report(docs).collect():
         text = dict(rows)[r.doc_id]
         places = [(t, m.start(), m.end()) for t in marked[r.doc_id] for m in re.finditer(rf"\b{t}\b", text)]
         wanted = {f"{'removed' if marked[r.doc_id][t] >= p.REMOVE else 'general'}:{a}:{b}" for t, a, b in places}
         assert {s for s in r.spans.split(",") if s.startswith(("removed", "general"))} == wanted
+
+
+def test_copies_are_one_piece_of_evidence(spark):
+    """Copies of one text disclose nothing, however many; three different texts do."""
+    rng = random.Random(8)
+    common = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(60)]
+
+    def fill(k):
+        return " ".join(rng.choices(common, k=k))
+    rows = [(i, fill(30)) for i in range(150)]
+    copied = f"only here are Fennimarsh and Tolliver with ann@copied.org {fill(10)}"
+    rows += [(500 + i, copied) for i in range(40)]
+    rows += [(600 + i, f"{fill(20)} Harlequist {fill(3)} bea@three.org {fill(12)}") for i in range(3)]
+    rows += [(700 + i, f"{fill(20)} Wendelbury {fill(3)} cid@twice.org {fill(12)}") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r.doc_id: r for r in p.report(docs).collect()}
+    assert len(got) == len(rows)
+    for i, text in rows:
+        at = text.find("Harlequist")
+        wanted = [f"removed:{at}:{at + 10}"] if at >= 0 else []
+        assert [s for s in got[i].spans.split(",") if s.startswith(("removed", "general"))] == wanted, i
+    assert got[500].n_email == 1 and got[700].n_removed == 0
+
+
+def test_very_long_text(spark):
+    long = "word " * 200_000 + "ann@long.org " + "tail " * 200_000
+    docs = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
+    got = {r.doc_id: r for r in p.report(docs).collect()}
+    assert got[1].n_email == 1 and got[1].spans == "email:1000000:1000012" and got[2].spans == ""
