@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.llm import bpe, decontaminate, near_dup, quality_rules, secret_scan
 from marquee.llm.common import Scratch, table
 
+NEAR_PERCENT = 80
 # The rows depend on hashes and on a tokenizer's merges, which SQL cannot express.
 ORACLE_SQL = None
 
@@ -24,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
-    return near_dup.deduplicate(docs)
+    """One document of each group of texts that share 80 % of their shingles stays."""
+    return near_dup.deduplicate(docs, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
