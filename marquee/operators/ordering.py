@@ -78,6 +78,16 @@ def _bucket(bounds: Column, value: str) -> Column:
     return F.coalesce(below, F.lit(0))
 
 
+def bucket_bounds(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """keys, _bounds: bucket bounds of each group's values, computed now, for `bucket_of`."""
+    return _settled(df.groupBy(*keys).agg(_bounds(value).alias("_bounds")))[0]
+
+
+def bucket_of(value: str) -> Column:
+    """The bucket of a value; all values of a bucket lie below those of the next."""
+    return _bucket(F.col("_bounds"), value)
+
+
 def _brackets(fractions: Sequence[float]) -> list[float]:
     """Fractions safely below and above each wanted one. The sketch is off by one part in ACCURACY of
     the rows at most, so its values at these fractions enclose the wanted positions."""

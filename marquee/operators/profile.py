@@ -6,10 +6,10 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions.numbers import pct_of_total, ratio
-from marquee.operators.ordering import exact_percentiles
+from marquee.operators.ordering import bucket_bounds, bucket_of, exact_percentiles
 from marquee.session import checkpointed
 
 # Percentiles of a numeric summary, by column name.
@@ -117,18 +117,48 @@ def window_comparison(
     windows: Mapping[str, tuple[dt.date, dt.date]],
     decimals: int = 2,
 ) -> DataFrame:
-    """Rows and mean/median skew of each column, per candidate date window."""
-    rows = in_windows(df.select(date, *columns), date, windows)
-    counted = rows.groupBy("window").agg(F.count(F.lit(1)).alias("rows_in_window"))
-    skews = (
-        _mean_median(rows, columns, ["window"])
-        .groupBy("window")
-        .agg(*[
-            F.round(F.max(F.when(F.col("column_name") == c, F.col("mean_median_ratio"))), decimals).alias(f"{c}_skew")
-            for c in columns
-        ])
-    )
-    return counted.join(skews, "window", "left")
+    """Rows and mean/median skew of each column, per candidate date window. Windows without rows are left out.
+
+    The bounds of all windows cut time into elementary intervals, and every row lies in one of them. Rows are
+    counted and summed once per interval and bucket of values, and a window is a stretch of these intervals,
+    so the work on rows does not depend on how many windows there are or how far they overlap. Buckets only
+    tell where the median's positions lie; the rows of those buckets are put in order, so medians are exact.
+    """
+    cuts = sorted({d for window in windows.values() for d in window})
+    stretches = df.sparkSession.createDataFrame(
+        [(name, i) for name, (lo, hi) in windows.items() for i in range(cuts.index(lo), cuts.index(hi))], "window string, interval int")
+    interval = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(date))) - 1
+    rows = df.select(date, *columns).where((F.col(date) >= cuts[0]) & (F.col(date) < cuts[-1])).withColumn("interval", interval)
+    per_interval = rows.groupBy("interval").agg(F.count(F.lit(1)).alias("n"))
+    counted = per_interval.join(F.broadcast(stretches), "interval").groupBy("window").agg(F.sum("n").alias("rows_in_window"))
+
+    values = _long_form(rows, ["interval"], columns).where(F.col("value").isNotNull())
+    bounds = bucket_bounds(values, ["column_name"], "value")
+    values = values.join(bounds, "column_name").select("interval", "column_name", "value", bucket_of("value").alias("bucket"))
+    # At most intervals x columns x buckets rows from here on; they are used twice.
+    held = checkpointed(values.groupBy("interval", "column_name", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
+    merged = held.join(F.broadcast(stretches), "interval").groupBy("window", "column_name", "bucket").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    group = Window.partitionBy("window", "column_name")
+    placed = merged.select(
+        "window", "column_name", "bucket", "n", (F.sum("n").over(group.orderBy("bucket")) - F.col("n")).alias("before"),
+        F.sum("n").over(group).alias("all"), (F.sum("total").over(group) / F.sum("n").over(group)).alias("mean"))
+    low, high = (F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2))
+    wanted = placed.where((F.col("before") <= high) & (F.col("before") + F.col("n") > low)).withColumns({"low": low, "high": high})
+    wanted = checkpointed(wanted.drop("n", "all"))
+    # Of all rows only those in a bucket that holds a median of some window.
+    near = values.join(F.broadcast(wanted.select("column_name", "bucket").distinct()), ["column_name", "bucket"], "left_semi")
+    near = near.groupBy("interval", "column_name", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+    near = near.join(F.broadcast(stretches), "interval").groupBy("window", "column_name", "bucket", "value").agg(F.sum("n").alias("n"))
+    until = F.sum("n").over(Window.partitionBy("window", "column_name", "bucket").orderBy("value")) + F.col("before")
+    ladder = near.join(F.broadcast(wanted), ["window", "column_name", "bucket"]).withColumn("until", until).withColumn(
+        "from", F.col("until") - F.col("n"))
+
+    def at(position: str) -> Column:
+        return F.max(F.when((F.col("from") <= F.col(position)) & (F.col(position) < F.col("until")), F.col("value")))
+    skews = ladder.groupBy("window", "column_name").agg(F.first("mean").alias("mean"), ((at("low") + at("high")) / 2).alias("median"))
+    wide = skews.groupBy("window").agg(*[
+        F.round(F.max(F.when(F.col("column_name") == c, ratio(F.col("mean"), F.col("median")))), decimals).alias(f"{c}_skew") for c in columns])
+    return counted.join(wide, "window", "left")
 
 
 def count_summary(per: DataFrame, column: str) -> DataFrame:

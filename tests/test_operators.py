@@ -213,3 +213,31 @@ def test_groups_without_a_key(spark):
     middle = ordering.exact_percentiles(df, ["k"], "v", {"p50": 0.5}).collect()
     assert {r.k: r.p50 for r in middle} == {None: 3.0, 1: 2.0}
     assert {r.k for r in profile.numeric_summary(df, ["v"], ["k"]).collect()} == {None, 1}
+
+
+def test_window_comparison_equals_brute_force(spark):
+    """Overlapping, nested, equal and empty windows, tied and missing values, days on the bounds."""
+    rng = random.Random(3)
+    day = dt.date(2000, 1, 1)
+    data = [(day + dt.timedelta(rng.randrange(400)), rng.choice([None, 1.0, 7.0, rng.random() * 50]), rng.choice([None, float(rng.randrange(5))]))
+            for _ in range(900)] + [(None, 5.0, 5.0), (dt.date(1990, 1, 1), 9.0, 9.0)] + [(day, 3.0, None)] * 300
+    windows = {name: (day + dt.timedelta(a), day + dt.timedelta(b)) for name, (a, b) in {
+        "all": (0, 400), "early": (0, 150), "late": (100, 400), "inner": (120, 140), "same": (120, 140), "one day": (77, 78),
+        "nothing": (5000, 5100), "ends": (399, 400)}.items()}
+    frame = spark.createDataFrame(data, "d date, a double, b double")
+    got = {r["window"]: (r["rows_in_window"], r["a_skew"], r["b_skew"]) for r in profile.window_comparison(frame, "d", ["a", "b"], windows).collect()}
+    want = {}
+    for name, (lo, hi) in windows.items():
+        inside = [r for r in data if r[0] and lo <= r[0] < hi]
+        skews = []
+        for i in (1, 2):
+            known = [r[i] for r in inside if r[i] is not None]
+            middle = statistics.median(known) if known else 0
+            skews.append(round(sum(known) / len(known) / middle, 2) if middle else None)
+        if inside:
+            want[name] = (len(inside), *skews)
+    assert got.keys() == want.keys()
+    for name, (n, *skews) in want.items():
+        assert got[name][0] == n
+        for x, y in zip(got[name][1:], skews):
+            assert (x is None) == (y is None) and (x is None or abs(x - y) <= 0.011), name
