@@ -17,8 +17,9 @@ class Scratch:
     """Tables written to the folder that all executors share, so that a lost executor costs nothing
     that was finished. They go when the application ends, or earlier by `drop`."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, batch_rows: int | None = None):
+        """`batch_rows`: tasks hand Python so many rows at a time while a table is written."""
+        self.spark, self.batch_rows = spark, batch_rows
         self.folder = f"{shared_folder(spark)}/marquee-{uuid.uuid4().hex}"
         self._path("").getFileSystem(self._conf()).deleteOnExit(self._path(""))
 
@@ -29,9 +30,29 @@ class Scratch:
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        usual = self.spark.conf.get(key)
+        if self.batch_rows:
+            self.spark.conf.set(key, str(self.batch_rows))
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        finally:
+            self.spark.conf.set(key, usual)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def named_apart(self, name: str, mark: str) -> list[str]:
+        """The Parquet files of a stored table, under names that no other file of the application has, as
+        files that are sent to tasks must."""
+        path = self._path(name)
+        system = path.getFileSystem(self._conf())
+        found = sorted(f.getPath().toString() for f in system.listStatus(path)) if system.exists(path) else []
+        out = []
+        for i, file in enumerate(f for f in found if f.endswith(".parquet")):
+            to = f"{file.rpartition('/')[0]}/{self.folder.rpartition('/')[2]}-{mark}-{i}.parquet"
+            system.rename(self.spark._jvm.org.apache.hadoop.fs.Path(file), self.spark._jvm.org.apache.hadoop.fs.Path(to))
+            out.append(to)
+        return out
+
     def drop(self, name: str) -> None:
         """Free a table that no later plan reads."""
         path = self._path(name)

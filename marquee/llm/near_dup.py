@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.llm.common import Scratch, bounded_side, sliced
+from marquee.llm.common import SLICE, Scratch, bounded_side, sliced
 from marquee.llm.components import components
 
 SHINGLE = 5
@@ -180,7 +180,7 @@ class _Search:
 
     def __init__(self, docs: DataFrame, threshold_percent: int = THRESHOLD_PERCENT):
         self.threshold = threshold_percent
-        self.scratch = Scratch(docs.sparkSession)
+        self.scratch = Scratch(docs.sparkSession, SLICE)
         self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
         self.step = 0
 
@@ -231,8 +231,8 @@ class _Search:
         first = member.groupBy("bucket").agg(center.alias("b"), F.max_by("n", F.struct("weight", "class")).alias("n2"))
         pairs = member.join(first, "bucket").where((F.col("class") != F.col("b")) & near)
         links = self.confirmed(pairs.select(F.col("class").alias("a"), "b").distinct())
+        roots = components(self.scratch, links, f"roots{self.step}-")
         for full in (False, True):
-            roots = components(self.scratch, links, f"roots{self.step}-")
             open_rows = self._apart(roots)
             if full:
                 pairs = self._direct(open_rows, near).union(self._by_prefix(open_rows))
@@ -244,8 +244,10 @@ class _Search:
                     F.max_by("root", F.struct("weight", "class")).alias("root2"))
                 pairs = open_rows.join(rest, "bucket").where((F.col("root") != F.col("root2")) & near).select(F.col("class").alias("a"), "b")
             more = self.confirmed(pairs.distinct())
-            links = links.union(more)
-        return components(self.scratch, links, "final-")
+            if not more.isEmpty():
+                links = links.union(more)
+                roots = components(self.scratch, links, f"roots{self.step}-")
+        return roots
 
     def _apart(self, roots: DataFrame) -> DataFrame:
         """Rows of the buckets that still hold more than one component, with their component."""
