@@ -40,6 +40,15 @@ class Scratch:
             self.spark.conf.set(key, usual)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def put(self, name: str, data: bytes) -> str:
+        """A file of bytes in the folder; returns its whole path."""
+        path = self._path(name)
+        system = path.getFileSystem(self._conf())
+        out = system.create(path, True)
+        out.write(bytearray(data))
+        out.close()
+        return system.makeQualified(path).toString()
+
     def named_apart(self, name: str, mark: str) -> list[str]:
         """The Parquet files of a stored table, under names that no other file of the application has, as
         files that are sent to tasks must."""

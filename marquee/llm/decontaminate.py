@@ -11,12 +11,17 @@ above the threshold is retrieved, with no cut at a number of results. A retrieve
 the document by its overlap: shared five-word shingles of its question and of its answer, or of the whole
 item if it has no answer of its own.
 
-The index is sent to the tasks. Items beyond its bound in bytes are dealt to several indexes, which
-all documents pass one after the other.
+Items are dealt to parts of bounded size, each an index that all documents pass one after the other. How
+many segments there are, how long they are on average and how many of them hold a term is counted once, by
+Spark, over all items, so scores do not depend on the number of parts. A part is a file in the shared
+folder; a task loads the part that it works on, and nothing of the benchmark passes through the driver.
+
+Words of scripts that put no spaces between words are single characters.
 
 Defined cases: null or empty texts and items match nothing; the answer of an item is what follows an
-answer mark or a question mark; an item without these is one text, its answer overlap is null; an item
-of one word is not searched; repeated
+answer mark, or a question mark if that is one sentence; an item without these is one text, its answer
+overlap is null; an item of one word is not searched; a single item that is larger than the bound makes
+a part of that size; repeated
 rows give repeated results, and an item that is listed twice is one; an item without an id is found
 under a null id; an empty table gives an empty result. Other columns, also ones named like a result,
 are not read.
@@ -27,13 +32,17 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import sliced
+from marquee.llm.common import Scratch, sliced
 
 K1, B = 1.2, 0.75
 STRIDE = 64
@@ -48,8 +57,10 @@ MIN_OVERLAP = 0.5
 #: Bytes of item text in one index.
 INDEX_BYTES = 4 << 20
 
-WORD = re.compile(r"[^\W_]+")
-ANSWER = re.compile(r"\banswer\s*:|\n\s*a\s*:|\?", re.I)
+# Thai, Lao, Burmese, Khmer, kana and Chinese characters.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u3096\u30a1-\u30fa\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[{UNSPACED}]|[^\W_{UNSPACED}]+")
+ANSWER = re.compile(r"\banswer\s*:|\n\s*a\s*:|\?(?!.*[.!?]\s+\S)", re.I | re.S)
 
 
 def terms_of(text: str) -> list[str]:
@@ -69,24 +80,47 @@ def shingles(words: list[str]) -> set[tuple]:
     return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} if words else set()
 
 
+def segments_of(question: list[str], answer: list[str]) -> list[Counter]:
+    """The terms of each segment of an item."""
+    words, out = question + answer, []
+    for i in range(0, len(words), SEGMENT):
+        # A short rest would be found by few words; the last segment reaches back instead.
+        own = words[max(0, min(i, len(words) - SEGMENT)):][:SEGMENT]
+        if len(own) > 1:
+            out.append(Counter(zip(own, own[1:])))
+    return out
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """Of all segments of all items: their number, their terms, and how many of them hold a term."""
+
+    segments: int
+    terms: int
+    holders: dict[tuple[str, str], int]
+
+    @classmethod
+    def of(cls, items: list[tuple]) -> Statistics:
+        found = [s for _, t in items for s in segments_of(*question_and_answer(t))]
+        return cls(len(found), sum(sum(s.values()) for s in found), Counter(t for s in found for t in s))
+
+
 class Index:
-    """Postings of the segments with their impacts, and upper bounds of each term per block and in all."""
+    """Postings of the segments with their impacts, and upper bounds of each term per block and in all. The
+    statistics are those of these items, or of all items of which these are a part."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], statistics: Statistics | None = None):
+        statistics = statistics or Statistics.of(items)
         self.items = [(i, *question_and_answer(t)) for i, t in items]
         self.owner, segments = [], []
         for number, (_, question, answer) in enumerate(self.items):
-            words = question + answer
-            for i in range(0, len(words), SEGMENT):
-                # A short rest would be found by few words; the last segment reaches back instead.
-                own = words[max(0, min(i, len(words) - SEGMENT)):][:SEGMENT]
-                if len(own) > 1:
-                    segments.append(Counter(zip(own, own[1:])))
-                    self.owner.append(number)
+            own = segments_of(question, answer)
+            segments += own
+            self.owner += [number] * len(own)
         count = len(segments)
-        held = Counter(t for s in segments for t in s)
-        idf = {t: math.log(1 + (count - n + 0.5) / (n + 0.5)) for t, n in held.items()}
-        mean = sum(sum(s.values()) for s in segments) / max(1, count)
+        held = dict.fromkeys(t for s in segments for t in s)
+        idf = {t: math.log(1 + (statistics.segments - n + 0.5) / (n + 0.5)) for t in held for n in (statistics.holders[t],)}
+        mean = statistics.terms / max(1, statistics.segments)
         self.words = {w: i for i, w in enumerate(dict.fromkeys(w for t in held for w in t))}
         # Terms are numbered in the order of their keys, so a key is found by bisection.
         keyed = sorted((self._key(*map(self.words.get, t)), t) for t in held)
@@ -232,14 +266,66 @@ class Index:
                     yield number, self.items[item][0], score, q, a
 
 
-def indexes(benchmark: DataFrame):
-    """Item lists, each for an index of bounded size; a run of the driver holds one at a time."""
+def _term_rows(batches):
+    """Per item: each term with the number of segments that hold it, and one row for the segments themselves."""
+    for batch in sliced(batches):
+        parts, terms, holders, lengths = [], [], [], []
+        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist()):
+            own = segments_of(*question_and_answer(text))
+            rows = [(" ".join(t), n, 0) for t, n in Counter(t for s in own for t in s).items()]
+            rows.append((None, len(own), sum(sum(s.values()) for s in own)))
+            parts += [part] * len(rows)
+            for column, values in zip((terms, holders, lengths), zip(*rows)):
+                column += values
+        yield pa.RecordBatch.from_pydict({"part": pa.array(parts, pa.int64()), "term": pa.array(terms, pa.string()),
+                                          "holders": pa.array(holders, pa.int64()), "length": pa.array(lengths, pa.int64())})
+
+
+#: The part that a worker of a task has loaded last.
+_LOADED: dict[str, Index] = {}
+
+
+class Part:
+    """Names the files of one part; tasks make its index from them."""
+
+    def __init__(self, files: list[str], segments: int, terms: int):
+        self.files, self.segments, self.terms = files, segments, terms
+
+    def index(self) -> Index:
+        name = " ".join(self.files)
+        if name not in _LOADED:
+            _LOADED.clear()
+            rows = [r for f in self.files for r in pq.read_table(SparkFiles.get(f)).to_pylist()]
+            holders = {tuple(r["term"].split(" ")): r["holders"] for r in rows if r["term"] is not None}
+            items = sorted(((r["item_id"], r["text"]) for r in rows if r["term"] is None), key=str)
+            _LOADED[name] = Index(items, Statistics(self.segments, self.terms, holders))
+        return _LOADED[name]
+
+
+def parts(benchmark: DataFrame) -> list[Part]:
+    """The benchmark as files of items with the statistics of their terms, of bounded size each."""
+    spark = benchmark.sparkSession
+    scratch = Scratch(spark)
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("length(text) > 0").distinct()
+    items = scratch.keep(items, "items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // INDEX_BYTES) * (2 if total > INDEX_BYTES else 1))
-    dealt = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    for k in range(parts):
-        yield [tuple(r) for r in (items.where(dealt == k) if parts > 1 else items).collect()]
+    n = max(1, -(-total // INDEX_BYTES) * (2 if total > INDEX_BYTES else 1))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+    terms = scratch.keep(items.select("part", "text").mapInArrow(_term_rows, "part long, term string, holders long, length long"), "terms")
+    sizes = terms.where("term is null").agg(F.sum("holders"), F.sum("length")).first()
+    everywhere = terms.where("term is not null").groupBy("term").agg(F.sum("holders").alias("holders"))
+    own = terms.where("term is not null").select("part", "term").distinct().join(everywhere, "term")
+    rows = items.select("part", "item_id", "text", F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("holders")).unionByName(
+        own, allowMissingColumns=True)
+    rows.repartition(n, "part").write.partitionBy("part").parquet(f"{scratch.folder}/parts")
+    out = []
+    for k in range(n):
+        files = scratch.named_apart(f"parts/part={k}", f"part{k}")
+        for file in files:
+            spark.sparkContext.addFile(file)
+        if files:
+            out.append(Part([f.rpartition("/")[2] for f in files], sizes[0], sizes[1]))
+    return out
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -247,22 +333,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kinds = [d.schema[c].dataType.simpleString() for d, c in ((rows, "doc_id"), (benchmark, "item_id"))]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
-    found = None
-    for items in indexes(benchmark):
-        index = Index(sorted(items, key=str))
-
-        def scan(batches, index=index):
-            for batch in sliced(batches):
-                hits = list(index.leaks(batch.column("text").to_pylist()))
-                columns = list(zip(*hits)) or [()] * 5
-                wanted = pa.array(columns[0], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(wanted), pa.array(columns[1], ITEM_TYPES.get(kinds[1])),
-                     *[pa.array([x if x is None else round(x, 9) for x in c], pa.float64()) for c in columns[2:]]],
-                    names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-        part = rows.mapInArrow(scan, schema)
-        found = part if found is None else found.union(part)
-    return found
+
+    def scan(batches, part):
+        index = part.index()
+        for batch in sliced(batches):
+            hits = list(index.leaks(batch.column("text").to_pylist()))
+            columns = list(zip(*hits)) or [()] * 5
+            wanted = pa.array(columns[0], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(wanted), pa.array(columns[1], ITEM_TYPES.get(kinds[1])),
+                 *[pa.array([x if x is None else round(x, 9) for x in c], pa.float64()) for c in columns[2:]]],
+                names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+    found = [rows.mapInArrow(lambda batches, part=part: scan(batches, part), schema) for part in parts(benchmark)]
+    return reduce(DataFrame.union, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
 ITEM_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
@@ -270,14 +353,13 @@ ITEM_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found, unchanged."""
+    def drop(batches, part):
+        index = part.index()
+        for batch in sliced(batches):
+            clean = np.ones(batch.num_rows, bool)
+            clean[[hit[0] for hit in index.leaks(batch.column("text").to_pylist())]] = False
+            yield batch.filter(pa.array(clean))
     left = docs
-    for items in indexes(benchmark):
-        index = Index(sorted(items, key=str))
-
-        def drop(batches, index=index):
-            for batch in sliced(batches):
-                clean = np.ones(batch.num_rows, bool)
-                clean[[hit[0] for hit in index.leaks(batch.column("text").to_pylist())]] = False
-                yield batch.filter(pa.array(clean))
-        left = left.mapInArrow(drop, left.schema)
+    for part in parts(benchmark):
+        left = left.mapInArrow(lambda batches, part=part: drop(batches, part), left.schema)
     return left

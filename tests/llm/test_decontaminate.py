@@ -111,3 +111,47 @@ def test_near_and_partial_copies_of_plain_items(spark):
     got = {(r.doc_id, r.item_id): r.answer_overlap for r in d.leaks(docs, bench).collect()}
     assert got == {(1, 1): None, (2, 1): None, (3, 1): None, (5, 2): None, (6, 3): 1.0}
     assert {r.doc_id for r in d.decontaminate(docs, bench).collect()} == {4, 7, 8}
+
+
+def test_scores_do_not_depend_on_the_size_of_an_index(spark, monkeypatch):
+    docs, items = corpus(3)
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found(size):
+        monkeypatch.setattr(d, "INDEX_BYTES", size)
+        return len(d.parts(bench)), {(r.doc_id, r.item_id): r.score for r in d.leaks(rows, bench).collect()}
+    (one, whole), (many, cut) = found(4 << 20), found(3000)
+    assert one == 1 and many > 3 and whole.keys() == cut.keys() and len(whole) > 30
+    assert all(abs(whole[k] - cut[k]) < 1e-9 for k in whole)
+    # And they are those of an index over all items.
+    index = d.Index(sorted({x for x in items if x[1]}, key=str))
+    plain = {}
+    for i, text in docs:
+        for number, item, score, *_ in index.leaks([text]):
+            plain[i, item] = round(score, 9)
+    assert plain.keys() == whole.keys() and all(abs(plain[k] - whole[k]) < 1e-8 for k in plain)
+
+
+def test_texts_without_spaces_between_words(spark):
+    item = "今天的天气非常好我们一起去公园散步然后回家吃晚饭"
+    thai = "วันนี้อากาศดีมากเราไปเดินเล่นในสวนสาธารณะกัน"
+    docs = [(1, f"前言前言{item}后记"), (2, item[:6] + "不同的内容在这里没有关系"), (3, f"abc {thai} def"), (4, "plain words only")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, thai)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in d.leaks(rows, bench).collect()} == {(1, 1), (3, 2)}
+
+
+def test_question_marks():
+    q, a = d.question_and_answer("Ann has 3. How many are left? 72")
+    assert a == ["72"] and q[-1] == "left"
+    prose = "They came. Why? Nobody knew. The rain fell on. It stopped."
+    assert d.question_and_answer(prose) == (d.terms_of(prose), [])
+    assert d.question_and_answer("Why? Nobody. Answer: rain. Then sun.")[1] == ["rain", "then", "sun"]
+
+
+def test_very_long_text(spark):
+    leak = " ".join(f"k{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, "filler words " * 150_000 + leak + " filler words" * 150_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, leak)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in d.leaks(docs, bench).collect()] == [(1, 7)]
