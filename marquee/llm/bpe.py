@@ -21,9 +21,7 @@ import hashlib
 import heapq
 import json
 import mmap
-import os
 import re
-import tempfile
 import unicodedata
 import uuid
 from array import array
@@ -310,10 +308,7 @@ def publish_lexicon(docs: DataFrame, model: Model, size: int = LEXICON_WORDS) ->
     rows = frequent_words(docs, model, size).toArrow()
     entries = sorted(zip((w.encode("utf-8") for w in rows.column(0).to_pylist()), rows.column(1).to_pylist()))
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
-    with open(path, "wb") as file:
-        file.write(compile_lexicon(entries))
-    docs.sparkSession.sparkContext.addFile(path)
+    docs.sparkSession.sparkContext.addFile(Scratch(docs.sparkSession).put(name, compile_lexicon(entries)))
     return name
 
 
