@@ -16,7 +16,7 @@ A group that is too large for one task is split into narrower ranges once more i
 single windows, for which counting decides. Equal contexts inside a group are counted first and stand
 for each other. So neither a group of copies nor a common passage is ever brought together.
 
-Hashes that are trusted have 128 bits.
+Hashes that are trusted have 128 bits; within such a key, the 64 bits of an anchor's hash stand for the core itself.
 
 Defined cases: a null text is empty; a text below the minimum has no repeats; overlapping repeats
 count; repeated rows are repeats of each other; null ids are ids like any other; an empty table gives
