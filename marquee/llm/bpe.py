@@ -21,6 +21,7 @@ import hashlib
 import heapq
 import json
 import mmap
+import os
 import re
 import unicodedata
 import uuid

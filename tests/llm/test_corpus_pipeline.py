@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -64,3 +65,22 @@ def test_five_stages_and_an_empty_table(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert queries.pipeline(spark, str(tmp_path)).count() == 0
+
+
+def test_extra_columns_with_clashing_names(spark, tmp_path):
+    """Columns named like results, or like columns the stages make for themselves, pass through."""
+    rows, items = documents()
+    docs = spark.createDataFrame([(*r, i, "k", False) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, "
+                                 "n_chars long, text_hash int, component_id string, kept boolean").withColumns(
+        {"class": F.lit(5), "ids": F.lit("x"), "score": F.lit(1.5), "cleaned": F.lit("c")})
+    spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, str(tmp_path))
+        assert out.columns == docs.columns, name
+        out.write.parquet(str(tmp_path / name))
+        frame = spark.read.parquet(str(tmp_path / name))
+    assert {r.doc_id for r in frame.collect()} == set(range(49)) - {42, 43, 45, 40, 41, 48, 46}
+    assert all(r.component_id == "k" and r["class"] == 5 and r.cleaned == "c" for r in frame.collect())
+    last = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path))
+    assert dict(last.dtypes)["ids"] == "array<int>" and last.count() == frame.count()

@@ -83,3 +83,18 @@ def test_expansion_equals_counting():
                 expected += [at + i for i in range(len(p) - stop + 1) if seen[tuple(p[i:i + stop])] > 1]
                 at += len(p) + 1
             assert sorted(r.expanded(text, k, stop).tolist()) == expected
+
+
+def test_short_rows_over_many_partitions(spark):
+    """Passages a little shorter and longer than the minimum, in rows of about their size, dealt thinly."""
+    rng = random.Random(17)
+
+    def words(k):
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 9))) for _ in range(k))
+    passages = [words(k) for k in (52, 55, 60, 64, 70, 90)]
+    texts = [f"{words(rng.randint(0, 12))} {rng.choice(passages)} {words(rng.randint(0, 12))}" if rng.random() < 0.5 else words(rng.randint(5, 90))
+             for _ in range(150)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(60)
+    got = sorted((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in r.repeats(docs).collect())
+    assert got == [(i, *row) for i, row in enumerate(brute(texts))]
+    assert {len(p) >= 400 for p in passages} == {True, False} and sum(x[2] > 0 for x in got) > 20
