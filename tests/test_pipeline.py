@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from marquee.contracts import CLEAN, STAR_TABLES
 from marquee.operators import checks
 from marquee.plans import gold, kpi, quality, silver
-from marquee.plans.run import Inputs, Layers, gold_views, register_views, run, star
+from marquee.plans.run import Inputs, Layers, gold_views, publish_to_catalog, register_views, run, star
+from marquee.sources import audit, catalog
 from marquee.sources.tables import published
 
 # One movie in every year of the scope keeps the completeness check quiet.
@@ -296,3 +297,29 @@ def test_partitioning_does_not_change_clean_movies(spark, done):
         got = sorted(map(str, silver.movies(main, enriched).collect()))
         assert want is None or got == want
         want = got
+
+
+def test_catalogue_shows_the_published_run(spark, done):
+    root = str(done[0] / "out")
+    database = "published_test"
+    catalog.create_database(spark, database, str(done[0] / "db"))
+    publish_to_catalog(spark, root, database)
+    publish_to_catalog(spark, root, database)
+    assert spark.table(f"{database}.fact_movies").count() == star(spark, root)["fact_movies"].count() == 40
+    layers = Layers(spark, root, published(spark, root))
+    for name in catalog.STAGING:
+        view, frame = spark.table(f"{database}.{name}"), gold_views(layers)[name]
+        assert view.columns == frame.columns and view.exceptAll(frame).isEmpty() and frame.exceptAll(view).isEmpty(), name
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    assert star(spark, root)["fact_movies"].count() == 40  # dropping external tables leaves the run
+
+
+def test_every_gate_is_recorded(spark, done, tmp_path):
+    root = str(done[0] / "out")
+    first = {r.run: (r.gates_passed, r.times_stopped, r.stopped_at) for r in audit.outcomes(spark, root).collect()}["r1"]
+    assert first == (3, 0, None)
+    with pytest.raises(checks.GateFailure) as stopped:
+        run(spark, _inputs(spark, tmp_path / "raw", main=[("862.5", "t", "1/5/1999", "1", "1"), (None, "t", "1/5/1999", "1", "1")]), str(tmp_path / "out"), "odd")
+    assert stopped.value.layer == "bronze"
+    found = {(r.run, r.layer, r.check): r.violations for r in audit.stops(spark, str(tmp_path / "out")).collect()}
+    assert found == {("odd", "bronze", "movies_main.fractional_id"): 1, ("odd", "bronze", "movies_main.id_not_null"): 1}
