@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import ast
+import functools
 import re
 import warnings
 
@@ -39,11 +40,11 @@ def _plain_list(code: str) -> str:
     return rf"^[ \t]*+\[{gap}(?:{entry}(?:,{gap}{entry})*+,?{gap})?+\][ \t\n]*+$"
 
 
+@functools.cache
 def _python_list(code: str):
-    """Any other text, read by Python's own literal parser."""
-    def read(text: str | None):
-        if text is None:
-            return None
+    """Any other text, read by Python's own literal parser. One function a code, so that a step which asks twice
+    about a text hands it to Python once."""
+    def read(text: str):
         try:
             with warnings.catch_warnings():
                 warnings.simplefilter("ignore")
@@ -59,8 +60,13 @@ def _python_list(code: str):
 
     @F.pandas_udf("codes array<string>, fault boolean, broken boolean")
     def parsed(texts: pd.Series) -> pd.DataFrame:
-        nothing = {"codes": None, "fault": None, "broken": None}
-        return pd.DataFrame([read(t) or nothing for t in texts], columns=list(nothing))
+        # Most rows hand over no text; only those that do cost anything here.
+        found: dict[str, list] = {name: [None] * len(texts) for name in ("codes", "fault", "broken")}
+        for place, text in enumerate(texts):
+            if text is not None:
+                for name, value in read(text).items():
+                    found[name][place] = value
+        return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in found.items()})
     return parsed
 
 
@@ -77,8 +83,8 @@ def literal_codes(text: Column, code: str) -> Column:
     in the usual form are read by one regular expression, all others by Python's literal parser.
     """
     usual = F.regexp_extract_all(text, F.lit(rf"[{{,][ \t\n]*'{re.escape(code)}'[ \t\n]*:[ \t\n]*'([^']*)'"), F.lit(1))
-    return F.coalesce(
-        F.when(text.rlike(_plain_list(code)), usual), _unusual(text, code)["codes"], F.array().cast("array<string>"))
+    # A text with a bracket that Python was not asked about is a usual list.
+    return F.coalesce(_unusual(text, code)["codes"], F.when(text.contains("["), usual), F.array().cast("array<string>"))
 
 
 def literal_fault(text: Column, code: str) -> Column:

@@ -55,10 +55,16 @@ def no_empty_rows(columns: Sequence[str]) -> Column:
 
 def table_checks(df: DataFrame, checks: Mapping[str, Column], severity: str = ERROR) -> DataFrame:
     """Run any number of aggregate checks over a table in one pass."""
-    counted = df.agg(*[violations.cast("bigint").alias(f"_{i}") for i, violations in enumerate(checks.values())])
+    return graded_checks(df, {severity: checks})
+
+
+def graded_checks(df: DataFrame, checks: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """Checks of several severities, still in one pass."""
+    each = [(name, severity, violations) for severity, some in checks.items() for name, violations in some.items()]
+    counted = df.agg(*[violations.cast("bigint").alias(f"_{i}") for i, (_, _, violations) in enumerate(each)])
     rows = F.array(*[
         F.struct(F.lit(name).alias("check"), F.lit(severity).alias("severity"), F.col(f"_{i}").alias("violations"))
-        for i, name in enumerate(checks)
+        for i, (name, severity, _) in enumerate(each)
     ])
     return counted.select(F.inline(rows))
 
