@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from marquee.contracts import RAW, SOURCE_ORDER
+from marquee.operators.fingerprint import row_differences
 from marquee.plans import quality
 
 
@@ -32,3 +35,13 @@ def test_bronze_checks_ask_python_once_about_a_list(spark):
         "fractional_id": ("error", 1), "odd_country_list": ("error", 1), "odd_language_list": ("error", 2),
         "broken_country_list": ("warn", 1), "broken_language_list": ("warn", 1)}
     assert _plan(checks).count("ArrowEvalPython") == 1
+
+
+def test_differences_count_both_sides_in_one_aggregate(spark):
+    row = "k long, v string"
+    source = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (None, "n"), (5, "e")], row)
+    stored = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "x"), (None, "n"), (None, "m"), (5, "e")], row)
+    found = row_differences(source, stored, "k")
+    assert _rows(found) == sorted([(1, "lost", 1, 0), (2, "doubled", 0, 1), (3, "changed", 1, 1), (None, "extra", 0, 1)], key=str)
+    # Rows of a key are dealt once by key and row, not once a side and once more together.
+    assert len(re.findall(r"hashpartitioning\(_key#\d+L?, _row#", _plan(found))) == 1
