@@ -31,18 +31,20 @@ def fill_texts(df: DataFrame, source: DataFrame, key: str, texts: Mapping[str, s
 
 def within_scope(df: DataFrame, scope: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in scope. A semi-join cannot multiply rows, and a hot key stays on
-    the left, the side that adaptive execution can split."""
-    return df.join(scope.select(key), key, "left_semi")
+    the left, the side that adaptive execution can split. Tasks keep their part of the scope's keys, each
+    once, and let the rows pass unsorted."""
+    return df.join(scope.select(key).hint("shuffle_hash"), key, "left_semi")
 
 
 def orphans(children: Mapping[str, DataFrame], parent: DataFrame, key: str, label: str) -> DataFrame:
     """Child rows without a parent, labelled by child table. NULL parent keys hide nothing.
 
-    The parent has one row per key; hot keys are on the left, the side that can be split.
+    The parent has one row per key; hot keys are on the left, the side that can be split. Tasks keep
+    their part of the parent's keys and let the children, many times as many, pass unsorted.
     """
     tagged = [df.select(F.lit(name).alias(label), key) for name, df in children.items()]
     everything = reduce(DataFrame.unionByName, tagged)
-    return everything.join(parent.select(key), key, "left_anti").select(label, key)
+    return everything.join(parent.select(key).hint("shuffle_hash"), key, "left_anti").select(label, key)
 
 
 def missing_numbers(spark: SparkSession, expected: range, df: DataFrame, column: str) -> DataFrame:

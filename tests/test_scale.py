@@ -6,6 +6,7 @@ import re
 
 from marquee.contracts import RAW, SOURCE_ORDER
 from marquee.operators.fingerprint import row_differences
+from marquee.operators.joins import orphans
 from marquee.plans import quality
 
 
@@ -45,3 +46,11 @@ def test_differences_count_both_sides_in_one_aggregate(spark):
     assert _rows(found) == sorted([(1, "lost", 1, 0), (2, "doubled", 0, 1), (3, "changed", 1, 1), (None, "extra", 0, 1)], key=str)
     # Rows of a key are dealt once by key and row, not once a side and once more together.
     assert len(re.findall(r"hashpartitioning\(_key#\d+L?, _row#", _plan(found))) == 1
+
+
+def test_orphans_pass_unsorted(spark):
+    children = {"a": spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long"), "b": spark.createDataFrame([(2,), (3,), (3,)], "k long")}
+    parent = spark.createDataFrame([(2,), (2,), (None,)], "k long")
+    found = orphans(children, parent, "k", "t")
+    assert _rows(found) == sorted([("a", 1), ("a", 1), ("a", None), ("b", 3), ("b", 3)], key=str)
+    assert "ShuffledHashJoin" in _plan(found) and "Sort [" not in _plan(found)
