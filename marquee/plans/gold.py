@@ -152,7 +152,11 @@ def mart_language_share(stg_languages: DataFrame) -> DataFrame:
     return share_of_having(stg_languages, LANGUAGE, "movie_id", "movie_count", "total_movies", "pct_of_movies")
 
 
-def mart_country_summary(stg_countries: DataFrame) -> DataFrame:
+def mart_country_summary(stg_countries: DataFrame, unique_pairs: bool = False) -> DataFrame:
+    """With `unique_pairs`, which `distinct_in_scope` guarantees, a pair is a movie of its country, and tasks
+    keep a count per country instead of every pair once more."""
+    if unique_pairs:
+        return stg_countries.groupBy(*COUNTRY).agg(F.count("movie_id").alias("movie_count"))
     return distinct_per(stg_countries, COUNTRY, "movie_id", "movie_count")
 
 

@@ -7,7 +7,7 @@ import re
 from marquee.contracts import RAW, SOURCE_ORDER
 from marquee.operators.fingerprint import row_differences
 from marquee.operators.joins import orphans
-from marquee.plans import quality
+from marquee.plans import gold, quality
 
 
 def _plan(df) -> str:
@@ -54,3 +54,17 @@ def test_orphans_pass_unsorted(spark):
     found = orphans(children, parent, "k", "t")
     assert _rows(found) == sorted([("a", 1), ("a", 1), ("a", None), ("b", 3), ("b", 3)], key=str)
     assert "ShuffledHashJoin" in _plan(found) and "Sort [" not in _plan(found)
+
+
+def test_country_summary_of_unique_pairs_keeps_no_pair(spark):
+    pair = "movie_id long, iso_country_code string, country_name string, country_region string, country_subregion string, is_service_restricted boolean"
+    rows = [(1, "FR", "France", "EMEA", None, False), (1, "FR", "France", "EMEA", None, False), (2, "FR", "France", "EMEA", None, False),
+            (2, "US", "United States", None, None, True), (None, "US", "United States", None, None, True), (9, "US", "United States", None, None, True)]
+    scope = spark.createDataFrame([(1,), (2,), (2,), (None,)], "movie_id long")
+    unique = gold.distinct_in_scope(spark.createDataFrame(rows, pair), scope, gold.COUNTRY)
+    mart = gold.mart_country_summary(unique, unique_pairs=True)
+    assert _rows(mart) == _rows(gold.mart_country_summary(unique)) == [
+        ("FR", "France", "EMEA", None, False, 2), ("US", "United States", None, None, True, 1)]
+    assert "SortMergeJoin" not in _plan(mart)
+    # One partial and one final aggregate hold pairs: those of the distinct step.
+    assert len(re.findall(r"HashAggregate\(keys=\[movie_id|HashAggregate\(keys=\[[^]]*, movie_id#", _plan(mart))) == 2

@@ -172,7 +172,7 @@ def flag_share(spark, sf_dir):
     GROUP BY ALL ORDER BY movie_count DESC, iso_country_code"""))
 def nation_summary(spark, sf_dir):
     pairs = gold.distinct_in_scope(standin.countries(spark, sf_dir), standin.scope(spark, sf_dir), gold.COUNTRY)
-    mart = gold.mart_country_summary(pairs)
+    mart = gold.mart_country_summary(pairs, unique_pairs=True)
     return gold.for_display(mart, "movie_count", "iso_country_code")
 
 
