@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,12 +48,20 @@ class Layers:
         write_table(df, self.path(layer, name), **options)
         return self.read(layer, name)
 
+    def store_all(self, layer: str, frames: Mapping[str, Callable[[], DataFrame]], **options: Mapping[str, object]) -> dict[str, DataFrame]:
+        """Store tables that do not need each other, side by side, so that the last tasks of one leave no cores
+        idle. `options` hold a value per table; the first table that fails, in the given order, fails the layer."""
+        def one(name: str) -> DataFrame:
+            return self.store(layer, name, frames[name](), **{k: v[name] for k, v in options.items()})
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            return dict(zip(frames, pool.map(one, frames), strict=True))
+
 
 def run_bronze(spark: SparkSession, inputs: Inputs, layers: Layers) -> Report:
     def source(name: str) -> DataFrame:
         return read_raw(spark, getattr(inputs, name), RAW[name], multi_line=inputs.multi_line)
 
-    stored = {name: layers.store("bronze", name, source(name), table=RAW[name]) for name in RAW}
+    stored = layers.store_all("bronze", {name: lambda name=name: source(name) for name in RAW}, table=RAW)
     checks = quality.bronze_checks(spark, stored, {name: source(name) for name in RAW})
     return gate("bronze", checks)
 
@@ -74,15 +83,13 @@ def run_silver(spark: SparkSession, inputs: Inputs, layers: Layers) -> Report:
     languages = merge_names(
         inputs.language_names, manual_languages(spark), "iso_language_code", "language_name"
     )
-    outputs = {
-        "movies": silver.movies(main, unique),
-        "movie_genres": silver.movie_genres(attached),
-        "production_companies": silver.production_companies(attached),
-        "producing_countries": silver.producing_countries(attached, countries, region_dimension(spark)),
-        "spoken_languages": silver.spoken_languages(attached, languages),
-    }
-    for name, df in outputs.items():
-        layers.store("silver", name, df, table=CLEAN[name])
+    layers.store_all("silver", {
+        "movies": lambda: silver.movies(main, unique),
+        "movie_genres": lambda: silver.movie_genres(attached),
+        "production_companies": lambda: silver.production_companies(attached),
+        "producing_countries": lambda: silver.producing_countries(attached, countries, region_dimension(spark)),
+        "spoken_languages": lambda: silver.spoken_languages(attached, languages),
+    }, table=CLEAN)
     return gate("silver", quality.silver_checks(spark, {name: layers.read("silver", name) for name in CLEAN}))
 
 
@@ -102,27 +109,25 @@ def gold_views(layers: Layers) -> dict[str, DataFrame]:
 
 def run_gold(spark: SparkSession, layers: Layers) -> Report:
     views = gold_views(layers)
-    stored: dict[str, DataFrame] = {}
-    for attribute in ("genres", "companies", "countries", "languages"):
-        name = f"bridge_movie_{attribute}"
-        stored[name] = layers.store("gold", name, gold.bridge(views[f"stg_movie_{attribute}"]), allow_empty=True)
-        # A stored bridge holds the rows of its staging frame, so later readers use it instead.
-        views[f"stg_movie_{attribute}"] = stored[name]
+    empty = dict.fromkeys((*views, *STAR_TABLES), True)
+    attributes = ("genres", "companies", "countries", "languages")
+    stored = layers.store_all(
+        "gold", {f"bridge_movie_{a}": lambda a=a: gold.bridge(views[f"stg_movie_{a}"]) for a in attributes}, allow_empty=empty)
+    # A stored bridge holds the rows of its staging frame, so later readers use it instead.
+    views.update({f"stg_movie_{a}": stored[f"bridge_movie_{a}"] for a in attributes})
     # Views whose checks would run them several times are stored with the run's work tables.
-    for name in ("int_yearly_movie_trends", "int_movie_financials"):
-        views[name] = layers.store("work", name, views[name], allow_empty=True)
-    marts = {
-        "fact_movies": gold.fact_movies(
+    inner = {name: views[name] for name in ("int_yearly_movie_trends", "int_movie_financials")}
+    views.update(layers.store_all("work", {name: lambda df=df: df for name, df in inner.items()}, allow_empty=empty))
+    stored.update(layers.store_all("gold", {
+        "fact_movies": lambda: gold.fact_movies(
             views["stg_movies"], views["stg_movie_genres"], views["stg_movie_companies"],
             views["stg_movie_countries"], views["stg_movie_languages"],
         ),
-        "mart_genre_share": gold.mart_genre_share(views["stg_movie_genres"]),
-        "mart_language_share": gold.mart_language_share(views["stg_movie_languages"]),
-        "mart_country_summary": gold.mart_country_summary(views["stg_movie_countries"]),
-        "mart_yearly_trends": gold.mart_yearly_trends(views["int_yearly_movie_trends"]),
-    }
-    for name, df in marts.items():
-        stored[name] = layers.store("gold", name, df, allow_empty=True)
+        "mart_genre_share": lambda: gold.mart_genre_share(views["stg_movie_genres"]),
+        "mart_language_share": lambda: gold.mart_language_share(views["stg_movie_languages"]),
+        "mart_country_summary": lambda: gold.mart_country_summary(views["stg_movie_countries"]),
+        "mart_yearly_trends": lambda: gold.mart_yearly_trends(views["int_yearly_movie_trends"]),
+    }, allow_empty=empty))
     return gate("gold", quality.gold_checks(spark, {**views, **stored}))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.contracts import SOURCE_ORDER
-from marquee.functions.collections import coded_pairs, literal_broken, literal_codes, literal_fault, prefer_list, split_tokens
+from marquee.functions.collections import coded_pairs, literal_broken, literal_codes, literal_fault, prefer_list
 from marquee.functions.dates import parse_date
 from marquee.functions.numbers import is_fractional, to_key, to_money
 from marquee.functions.text import first_filled, same_word, trim_unicode
@@ -58,7 +58,10 @@ def attach_enrichment(extended: DataFrame, enriched: DataFrame) -> DataFrame:
 
 
 def _tokens(df: DataFrame, text: Column, name: str) -> DataFrame:
-    return df.select("movie_id", F.explode(split_tokens(text)).alias(name))
+    """One row per token of `split_tokens`; here the parts are trimmed as rows, which is compiled, not as array
+    entries, which is interpreted."""
+    parts = df.select("movie_id", F.explode(F.split(text, ",")).alias(name))
+    return parts.select("movie_id", trim_unicode(F.col(name)).alias(name)).where(F.col(name) != "")
 
 
 def movie_genres(attached: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from threading import Barrier
 
 from marquee.contracts import RAW, SOURCE_ORDER
 from marquee.operators.fingerprint import row_differences
 from marquee.operators.joins import orphans
-from marquee.plans import gold, quality
+from marquee.plans import gold, quality, silver
+from marquee.plans.run import Layers
 
 
 def _plan(df) -> str:
@@ -68,3 +70,20 @@ def test_country_summary_of_unique_pairs_keeps_no_pair(spark):
     assert "SortMergeJoin" not in _plan(mart)
     # One partial and one final aggregate hold pairs: those of the distinct step.
     assert len(re.findall(r"HashAggregate\(keys=\[movie_id|HashAggregate\(keys=\[[^]]*, movie_id#", _plan(mart))) == 2
+
+
+def test_independent_tables_are_stored_side_by_side(spark, tmp_path):
+    both = Barrier(2, timeout=60)  # breaks if one table waits for the other
+
+    def frame(n):
+        both.wait()
+        return spark.range(n)
+    stored = Layers(spark, str(tmp_path), "r").store_all("x", {"two": lambda: frame(2), "none": lambda: frame(0)}, allow_empty={"two": False, "none": True})
+    assert {name: df.count() for name, df in stored.items()} == {"two": 2, "none": 0}
+
+
+def test_tokens_are_trimmed_as_rows(spark):
+    rows = [(1, " a, ,b\u2003,a", None), (2, "", "x,,y "), (3, None, None)]
+    genres = silver.movie_genres(spark.createDataFrame(rows, "movie_id long, genres string, genres_found string"))
+    assert _rows(genres) == [(1, "a"), (1, "a"), (1, "b"), (2, "x"), (2, "y")]
+    assert "lambdafunction" not in _plan(genres)
