@@ -74,6 +74,31 @@ def test_group_around_a_middle_text(spark):
     assert sorted(tuple(r) for r in n.near_duplicates(docs).collect()) == brute(rows)
 
 
+def test_copies_too_far_apart_give_few_candidates(spark, monkeypatch):
+    """A group of copies of a text that is not there itself, two changed words each, hardly any near another."""
+    rng = random.Random(12)
+    base = [f"z{i}" for i in range(150)]
+    texts = []
+    for i in range(300):
+        copy = list(base if i % 10 else rng.choice(texts or [base]))
+        for at in rng.sample(range(4, 146), 2 if i % 10 else 1):
+            copy[at] = f"v{i}"
+        texts.append(copy)
+    rows = [(100 + i, " ".join(t)) for i, t in enumerate(texts)]
+    found, inner = [], n._Search._by_prefix
+
+    def counted(self, *args):
+        pairs = inner(self, *args)
+        found.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(n._Search, "_by_prefix", counted)
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], SCHEMA)
+    expected = brute(rows)
+    assert sorted(tuple(r) for r in n.near_duplicates(docs).collect()) == expected
+    assert len({e[2] for e in expected}) > 150 and not all(e[3] for e in expected)
+    assert found[0] < 10 * len(rows)
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, None), (None, "a b c d e f"), (3, "a b c d e f"), (4, ""), (4, "")]
     docs = spark.createDataFrame([(i, t, 3) for i, t in rows], SCHEMA)
